@@ -1,7 +1,7 @@
 """All training-data queries and their SQL."""
 
-from . import exact_dedup, packing, url_filter
+from . import exact_dedup, packing, quality, toxicity, url_filter
 
-MODULES = (exact_dedup, url_filter, packing)
+MODULES = (toxicity, url_filter, packing, exact_dedup, quality)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: q for m in MODULES for k, q in m.ORACLES.items()}
