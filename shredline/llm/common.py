@@ -108,7 +108,7 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
-def vector_sum(partials: DataFrame, spark: SparkSession, dtype: str, length: int) -> np.ndarray:
+def vector_sum(partials: DataFrame, spark: SparkSession, dtype: str, length: int, combine=np.add) -> np.ndarray:
     """Sum of rows (block int, blob binary) into one vector of ``length``: blocks are summed on the executors,
     and the driver receives one vector of that fixed size."""
 
@@ -116,16 +116,13 @@ def vector_sum(partials: DataFrame, spark: SparkSession, dtype: str, length: int
         total = None
         for blob in rows.column("blob").to_pylist():
             part = np.frombuffer(blob, dtype)
-            total = part.copy() if total is None else total + part
+            total = part.copy() if total is None else combine(total, part)
         return pa.table({"block": rows.column("block").slice(0, 1), "blob": pa.array([total.tobytes()], pa.binary())})
 
     # two levels: no task sums more than a share of the partial vectors
     salted = partials.select("block", "blob", F.pmod(F.xxhash64("blob"), F.lit(16)).alias("salt"))
 
-    def first(rows: pa.Table) -> pa.Table:
-        return add(rows)
-
-    halves = salted.groupBy("block", "salt").applyInArrow(lambda t: first(t.select(["block", "blob"])), "block int, blob binary")
+    halves = salted.groupBy("block", "salt").applyInArrow(lambda t: add(t), "block int, blob binary")
     done = halves.groupBy("block").applyInArrow(add, "block int, blob binary").collect()
     if not done:
         return np.zeros(length, dtype)
