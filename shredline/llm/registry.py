@@ -1,7 +1,7 @@
 """All training-data queries and their SQL."""
 
-from . import decontamination, exact_dedup, packing, quality, toxicity, url_filter
+from . import decontamination, exact_dedup, jaccard_join, packing, quality, toxicity, url_filter
 
-MODULES = (toxicity, decontamination, url_filter, packing, exact_dedup, quality)
+MODULES = (toxicity, decontamination, url_filter, jaccard_join, packing, exact_dedup, quality)
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: q for m in MODULES for k, q in m.ORACLES.items()}
