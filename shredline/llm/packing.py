@@ -28,38 +28,97 @@ from .common import Workspace, table
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids a task remembers; beyond this it forgets them all and goes on.
-CACHE_WORDS = 400_000
+#: Words, and letter runs or punctuation runs, whose ids a Python worker remembers; beyond this it forgets and goes on.
+CACHE_WORDS, CACHE_RUNS = 900_000, 600_000
+#: ASCII marks that end a word and start no contraction; the tokenizer's pattern splits them off.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def lowered(text: str) -> str:
+    """Lower case where that is what the tokenizer's normaliser makes of it for certain: in Latin-1."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 class WordEncoder:
     """Token ids of whole texts as little-endian uint32 bytes.
 
-    The tokenizer's pattern never spans a space or a line feed and its normaliser only joins what is inside a word,
-    so a text's ids are its words' ids in order; words are encoded once and remembered."""
+    The tokenizer's pattern never spans a space or a line feed and its normaliser changes nothing across them, so a
+    text's ids are its words' ids in order, and each word is encoded once and remembered. A word of letters below
+    U+0250 and marks at its end is remembered as its lower-cased letters and its marks."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {"": b""}
+        self.runs: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def encode_runs(self, letters: list[str], others: list[str]) -> None:
+        for at in range(0, len(letters), 4096):
+            part = letters[at : at + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1  # a letter run ends in one end-of-word token
+            if len(stops) == len(part):
+                blob, stops = ids.tobytes(), (4 * stops).tolist()
+                for w, a, b in zip(part, [0, *stops], stops):
+                    self.runs[w] = blob[a:b]
+            else:
+                others = others + part
+        for at in range(0, len(others), 4096):
+            part = others[at : at + 4096]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.runs[w] = np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, new: set[str]) -> None:
+        if len(self.words) > CACHE_WORDS:
+            self.words = {"": b""}
+        if len(self.runs) > CACHE_RUNS:
+            self.runs = {"": b""}
+        split, letters, others = {}, set(), set()
+        for w in new:
+            run = w.rstrip(MARKS)
+            if run.isalpha() and (run.isascii() or max(run) < "\u0250"):
+                low, marks = run.lower(), w[len(run) :]
+                letters.add(low)
+                others.add(marks)
+                split[w] = (low, marks)
+            else:
+                others.add(w)
+                split[w] = (w, "")
+        known = self.runs
+        self.encode_runs([w for w in letters if w not in known], [w for w in others if w not in known])
+        self.words.update((w, known[a] + known[b]) for w, (a, b) in split.items())
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        known = self.known
-        words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(known) > CACHE_WORDS:
-            known.clear()
-            known[""] = b""
-        new = [w for w in set().union(*words) if w not in known]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
+        words = [lowered(t or "").replace("\n", " ").split(" ") for t in texts]
+        every = set().union(*words)
+        if len(self.words) > CACHE_WORDS:
+            self.learn(every)
+        else:
+            self.learn(every.difference(self.words))
+        get = self.words.__getitem__
         for ws in words:
             yield b"".join(map(get, ws))
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The encoder that this Python worker keeps from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
 
@@ -70,7 +129,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
