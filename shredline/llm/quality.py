@@ -154,10 +154,46 @@ def labelled_statistics(stats: DataFrame, labels: DataFrame, column: str) -> Dat
     return stats.where(crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT).join(known, "doc_id")
 
 
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Discriminant]:
+    """The written statistics of the documents and the model of their labelled training rows."""
+    stats = Workspace(spark).save(document_statistics(docs), "statistics")
+    return stats, Discriminant(class_sums(labelled_statistics(stats, labels, "quality")))
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, that are predicted as good; no shuffle moves them."""
+    model = spark.sparkContext.broadcast(fit(spark, docs, labels)[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = np.array([statistics(t) for t in texts(batch)]).reshape(-1, len(STATISTICS))
+            yield batch.filter(pa.array(model.value.scores(rows) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Discriminant]:
+    """The written statistics of the documents and the model of their labelled training rows."""
+    stats = Workspace(spark).save(document_statistics(docs), "statistics")
+    return stats, Discriminant(class_sums(labelled_statistics(stats, labels, "quality")))
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, with all their columns, that are predicted as good; no shuffle moves them."""
+    model = spark.sparkContext.broadcast(fit(spark, docs, labels)[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = np.array([statistics(t) for t in texts(batch)]).reshape(-1, len(STATISTICS))
+            yield batch.filter(pa.array(model.value.scores(rows) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
-    stats = Workspace(spark).save(document_statistics(docs), "statistics")
-    model = spark.sparkContext.broadcast(Discriminant(class_sums(labelled_statistics(stats, labels, "quality"))))
+    stats, fitted = fit(spark, docs, labels)
+    model = spark.sparkContext.broadcast(fitted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
