@@ -78,21 +78,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class WordHasher:
-    """64-bit word hashes with a bounded per-task cache (the cache only saves time)."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; none is 0."""
+    from xxhash import xxh3_64_intdigest
 
-    def __init__(self, most: int = 300_000):
-        from xxhash import xxh3_64_intdigest
-
-        self.digest, self.most, self.known = xxh3_64_intdigest, most, {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, digest = self.known, self.digest
-        if len(known) > self.most:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = digest(w)
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+    h[h == 0] = 1
+    return h
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -108,6 +100,20 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
+def closed(vector: np.ndarray) -> bytes:
+    """Compressed bytes of a vector, byte planes apart."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(vector.view(np.uint8).reshape(len(vector), -1).T.tobytes())
+
+
+def opened(blob: bytes, dtype: str) -> np.ndarray:
+    import zstandard
+
+    body = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    return np.ascontiguousarray(body.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
 def vector_sum(partials: DataFrame, spark: SparkSession, dtype: str, length: int, combine=np.add) -> np.ndarray:
     """Sum of rows (block int, blob binary) into one vector of ``length``: blocks are summed on the executors,
     and the driver receives one vector of that fixed size."""
@@ -115,9 +121,9 @@ def vector_sum(partials: DataFrame, spark: SparkSession, dtype: str, length: int
     def add(rows: pa.Table) -> pa.Table:
         total = None
         for blob in rows.column("blob").to_pylist():
-            part = np.frombuffer(blob, dtype)
+            part = opened(blob, dtype)
             total = part.copy() if total is None else combine(total, part)
-        return pa.table({"block": rows.column("block").slice(0, 1), "blob": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"block": rows.column("block").slice(0, 1), "blob": pa.array([closed(total)], pa.binary())})
 
     # two levels: no task sums more than a share of the partial vectors
     salted = partials.select("block", "blob", F.pmod(F.xxhash64("blob"), F.lit(16)).alias("salt"))
@@ -126,11 +132,11 @@ def vector_sum(partials: DataFrame, spark: SparkSession, dtype: str, length: int
     done = halves.groupBy("block").applyInArrow(add, "block int, blob binary").collect()
     if not done:
         return np.zeros(length, dtype)
-    return np.concatenate([np.frombuffer(r.blob, dtype) for r in sorted(done, key=lambda r: r.block)])
+    return np.concatenate([opened(r.blob, dtype) for r in sorted(done, key=lambda r: r.block)])
 
 
 def vector_blocks(vector: np.ndarray, blocks: int = 16) -> pa.RecordBatch:
     parts = np.array_split(vector, blocks)
     return pa.RecordBatch.from_arrays(
-        [pa.array(range(blocks), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["block", "blob"]
+        [pa.array(range(blocks), pa.int32()), pa.array([closed(p) for p in parts], pa.binary())], names=["block", "blob"]
     )

@@ -11,8 +11,8 @@ intersection that two sets can still have, and pairs below the bound are left ou
 
 *Document pivots.* A region of more than ``SMALL`` sets takes one set as a pivot and measures all others from it; sets
 within the radius are linked through it. What remains is joined recursively: sets outside the region's largest component
-become pivots in turn, ever more of them, each against the sets of other components, except those that the triangle
-inequality over the first pivot's distances excludes. A region is done when no such set is left, so no pair of different
+become pivots in turn, each against the sets of other components, except those that the triangle inequality over the
+first pivot's distances, or the bounds below, exclude. A region is done when no such set is left, so no pair of different
 components is left unmeasured.
 
 Pairs are measured in two steps. Counts of a set's shingles in 256 hash classes give a lower bound of the symmetric
@@ -34,22 +34,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHasher, Workspace, shingle_hashes, slices, table, texts, vector_blocks, vector_sum
+from .common import Workspace, shingle_hashes, slices, table, texts, vector_blocks, vector_sum, word_hashes
 from .graph import components
 
 WIDTH = 5
 #: A link: 5 * intersection >= 4 * union.
 NUM, DEN = 4, 5
-CELL_BITS = 18
+CELL_BITS = 21
 CLASSES = 256
 BLOOM_BITS = 24
 #: Region rows that a shard holds on average; sets in a region that are compared directly; rows of a region before it is split.
 SHARD_ROWS, SMALL, HOT = 500_000, 64, 1_000_000
+#: Shingles of a region's sets, and of its pivots in a turn, that a task holds: 8 bytes each.
+BLOCK_CELLS = 4_000_000
 
 
-def document_sets(batch: pa.RecordBatch, hasher: WordHasher) -> list[np.ndarray]:
+def document_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    return [np.unique(shingle_hashes(hasher(t.lower().split()), WIDTH)) for t in texts(batch)]
+    return [np.unique(shingle_hashes(word_hashes(t.lower().split()), WIDTH)) for t in texts(batch)]
 
 
 def point(shingles: np.ndarray) -> int:
@@ -67,11 +69,11 @@ def read_sets(docs: DataFrame) -> DataFrame:
     """doc_id, n, fp for each row, and in other rows the task's counts of shingles by cell (block, blob)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, counts = WordHasher(), np.zeros(1 << CELL_BITS, np.int64)
+        counts = np.zeros(1 << CELL_BITS, np.int32)
         names = ["doc_id", "n", "fp", "block", "blob"]
         for batch in slices(batches):
-            sets = document_sets(batch, hasher)
-            counts += np.bincount(cells(np.concatenate(sets)), minlength=1 << CELL_BITS)
+            sets = document_sets(batch)
+            np.add.at(counts, cells(np.concatenate(sets)), 1)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(point, sets), pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
@@ -87,7 +89,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
 
 def order_levels(counts: np.ndarray) -> np.ndarray:
     """Steps of a quarter of a doubling above the mean count of a cell; rarer cells share the first."""
-    return np.floor(4 * np.log2(np.maximum(counts / max(1e-9, counts.mean()), 1))).astype(np.int64)
+    return np.floor(4 * np.log2(np.maximum(counts / max(1e-9, counts.mean()), 1))).astype(np.int16)
 
 
 def window_length(n: int) -> int:
@@ -118,11 +120,11 @@ def scatter(docs: DataFrame, levels, splits, shards: int) -> DataFrame:
     """shard, blob: the region rows of a batch of documents, by shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen = WordHasher(), set()
-        for batch in slices(batches, 4096):
+        seen = set()
+        for batch in slices(batches, 2048):
             rows = []
             for part in slices(iter([batch])):
-                for s in document_sets(part, hasher):
+                for s in document_sets(part):
                     if len(s) and (fp := point(s)) not in seen:
                         seen.add(fp)
                         rows.append(region_rows(s, fp, levels.value, splits.value))
@@ -213,10 +215,10 @@ def fetch_sets(docs: DataFrame, wanted) -> DataFrame:
     """fp, n, classes, shingles for the points that may be wanted, once each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, bits = WordHasher(), set(), wanted.value
+        seen, bits = set(), wanted.value
         for batch in slices(batches):
             rows = []
-            for s in document_sets(batch, hasher):
+            for s in document_sets(batch):
                 if len(s) and (fp := point(s)) not in seen and bits[(fp & (1 << 64) - 1) >> 64 - BLOOM_BITS]:
                     seen.add(fp)
                     classes = np.minimum(np.bincount((s % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES), 255)
@@ -239,17 +241,14 @@ def both_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
 def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose class counts allow a link."""
     for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16) for c in ("xa", "xb"))
-        least = np.abs(x - y).astype(np.int64).sum(1)
-        n = batch.column("na").to_numpy() + batch.column("nb").to_numpy()
-        # |x| + |y| - 2 i <= (|x| + |y|) (DEN - NUM) / (DEN + NUM) for a link
-        ok = (DEN + NUM) * least <= (DEN - NUM) * n
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CLASSES) for c in ("xa", "xb"))
+        ok = within(x, y, batch.column("na").to_numpy() + batch.column("nb").to_numpy())
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
 
 def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """a, b, whether they are linked and their distance."""
-    for batch in batches:
+    for batch in slices(batches):
         common = [
             len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
             for x, y in zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist())
@@ -261,6 +260,40 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def within(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether class counts allow a link between sets of ``n`` shingles together."""
+    least = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(1, dtype=np.int64)
+    # |x| + |y| - 2 i <= (|x| + |y|) (DEN - NUM) / (DEN + NUM) for a link
+    return (DEN + NUM) * least <= (DEN - NUM) * n
+
+
+def links_with_pivots(rows: pa.Table) -> pa.Table:
+    """Links of pivots with sets of other components, one for each two components that a pivot joins.
+
+    Sizes, positions, distances and class counts exclude pairs; the others are intersected exactly, unless links found
+    here have joined their components already."""
+    column = {c: rows.column(c).to_numpy() for c in ("fp", "root", "n", "at", "pivot")}
+    distance = rows.column("distance").to_numpy().astype(float)
+    classes = np.frombuffer(b"".join(rows.column("classes").to_pylist()), np.uint8).reshape(-1, CLASSES)
+    shingles = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+    fp, n, at = (column[c] for c in ("fp", "n", "at"))
+    root = np.unique(column["root"], return_inverse=True)[1]
+    sets, a, b = np.flatnonzero(~column["pivot"]), [], []
+    for q in np.flatnonzero(column["pivot"]):
+        i, j = np.where(n[sets] <= n[q], sets, q), np.where(n[sets] <= n[q], q, sets)
+        far = np.abs(distance[sets] - distance[q]) > (DEN - NUM) / DEN + 1e-9  # false where a distance is not known
+        own = sets[(root[sets] != root[q]) & possible(n, at, i, j) & ~far]
+        own = own[within(classes[own], classes[q], n[own] + n[q])]
+        for x in own:
+            if root[x] != root[q]:
+                common = len(np.intersect1d(shingles[x], shingles[q], assume_unique=True))
+                if DEN * common >= NUM * (n[x] + n[q] - common):
+                    a.append(min(fp[x], fp[q]))
+                    b.append(max(fp[x], fp[q]))
+                    root[root == root[x]] = root[q]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 class Join:
     """The state of one join: written tables by name."""
 
@@ -271,7 +304,7 @@ class Join:
         """Every row's doc_id, n and fp; leaves the candidates written."""
         spark, space = self.spark, self.space
         read = space.save(read_sets(self.docs), "sets")
-        counts = vector_sum(read.where(F.col("blob").isNotNull()).select("block", "blob"), spark, "int64", 1 << CELL_BITS)
+        counts = vector_sum(read.where(F.col("blob").isNotNull()).select("block", "blob"), spark, "int32", 1 << CELL_BITS)
         rows = read.where(F.col("blob").isNull()).select("doc_id", "n", "fp")
         windows = rows.agg(F.sum(F.when(F.col("n") > 0, F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1)).alias("k")).first().k or 0
         shards = max(spark.sparkContext.defaultParallelism, -(-int(windows) // SHARD_ROWS))
@@ -282,7 +315,18 @@ class Join:
         return rows
 
     def measure(self, pairs: DataFrame, name: str) -> DataFrame:
-        kept = self.space.save(both_sides(pairs, self.sets, "classes").mapInArrow(bounded, "a long, b long"), f"bounded-{name}")
+        return self.intersect(self.space.save(both_sides(pairs, self.sets, "classes").mapInArrow(bounded, "a long, b long"), f"bounded-{name}"), name)
+
+    def against_pivots(self, now: DataFrame) -> DataFrame:
+        """Links of chosen pivots and sets of their regions. A task holds a block of a region's sets and the
+        region's pivots of this turn, each of about BLOCK_CELLS shingles."""
+        now = now.join(self.sets.select("fp", "classes", "shingles"), "fp")
+        own = [F.col(c) for c in ("region", "fp", "root", "n", "at", "distance", "classes", "shingles")]
+        sets = now.select(*own, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("pivot"))
+        pivots = now.where("chosen").select(*own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("pivot"))
+        return sets.unionByName(pivots).groupBy("region", "block").applyInArrow(lambda t: links_with_pivots(t), "a long, b long")
+
+    def intersect(self, kept: DataFrame, name: str) -> DataFrame:
         return self.space.save(both_sides(kept, self.sets, "shingles").mapInArrow(measured, "a long, b long, linked boolean, distance double"), f"measured-{name}")
 
     def links(self) -> DataFrame:
@@ -303,34 +347,31 @@ class Join:
             members.join(star.select(F.col("a").alias("pivot"), F.col("b").alias("fp"), "distance"), ["pivot", "fp"], "left").withColumn("done", F.col("fp") == F.col("pivot")),
             "members-0",
         )
-        turn, many = 0, 16
+        turn = 0
         while True:
             turn += 1
             now = members.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-            parts = now.groupBy("region", "root").agg(F.count(F.lit(1)).alias("k"), F.count(F.when(~F.col("done"), 1)).alias("open"))
-            main = parts.groupBy("region").agg(F.max_by("root", F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("open").alias("all_open"))
-            main = main.join(parts.select("region", F.col("root").alias("main"), F.col("open").alias("main_open")), ["region", "main"])
-            left = main.where("parts > 1 and all_open > main_open").select("region", "main", (F.col("all_open") - F.col("main_open")).alias("rest"))
+            parts = now.groupBy("region", "root").agg(
+                F.count(F.lit(1)).alias("k"), F.count(F.when(~F.col("done"), 1)).alias("open"), F.sum("n").alias("cells"), F.max("n").alias("longest")
+            )
+            main = parts.groupBy("region").agg(
+                F.max_by(F.struct("root", "open"), F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("open").alias("all_open"), F.sum("cells").alias("cells"), F.max("longest").alias("longest")
+            )
+            rest = F.col("all_open") - F.col("main.open")
+            left = main.where((F.col("parts") > 1) & (rest > 0)).select(
+                "region",
+                F.col("main.root").alias("main"),
+                F.ceil(F.col("cells") / BLOCK_CELLS).cast("int").alias("blocks"),
+                (F.lit(BLOCK_CELLS) / (rest * F.col("longest"))).alias("share"),
+            )
             now = space.save(now.join(left, "region"), f"open-{turn}")  # regions that are done go
             if now.isEmpty():
                 return roots
-            chosen = ~F.col("done") & (F.col("root") != F.col("main")) & (F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 30)) * F.col("rest") < many * (1 << 30))
+            chosen = ~F.col("done") & (F.col("root") != F.col("main")) & (F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
             now = now.withColumn("chosen", chosen)
-            q = now.where("chosen").select("region", F.col("fp").alias("q"), F.col("root").alias("q_root"), F.col("n").alias("q_n"), F.col("at").alias("q_at"), F.col("distance").alias("q_distance"))
-            low, high = F.least("n", "q_n"), F.greatest("n", "q_n")
-            reach = F.least(F.col("n") - F.col("at"), F.col("q_n") - F.col("q_at"))
-            meet = (
-                (F.col("root") != F.col("q_root"))
-                & (low * DEN >= high * NUM)
-                & (reach * (NUM + DEN) >= (F.col("n") + F.col("q_n")) * NUM)
-                & F.coalesce(F.abs(F.col("distance") - F.col("q_distance")) <= (DEN - NUM) / DEN + 1e-9, F.lit(True))
-            )
-            more = now.select("region", "fp", "root", "n", "at", "distance").join(q, "region").where(meet)
-            pairs = space.save(more.select(F.least("fp", "q").alias("a"), F.greatest("fp", "q").alias("b")).distinct(), f"pairs-{turn}")
-            edges = edges.unionByName(self.measure(pairs, str(turn)).where("linked").select("a", "b"))
+            edges = edges.unionByName(space.save(self.against_pivots(now).distinct(), f"links-{turn}"))
             roots = components(edges, space, f"roots-{turn}")
             members = space.save(now.select("region", "fp", "pivot", "n", "at", "distance", (F.col("done") | F.col("chosen")).alias("done")), f"members-{turn}")
-            many *= 8
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
