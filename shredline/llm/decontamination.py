@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHasher, shingle_hashes, slices, table, texts
+from .common import shingle_hashes, slices, table, texts
 
 MIN_TILE = 5
 COVERAGE = 0.6
@@ -33,21 +33,22 @@ HITS = "doc_id long, item_id long, coverage double, tiles int, matched_words int
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’¿¡…–—"
 
 
-class PlainWords(WordHasher):
-    """Hashes of words without case and edge punctuation; a word of punctuation alone is 0."""
+class PlainWords:
+    """Hashes of words without case and edge punctuation, remembered up to a number of words."""
 
-    def __init__(self) -> None:
-        super().__init__()
-        digest = self.digest
+    def __init__(self, most: int = 300_000) -> None:
+        from xxhash import xxh3_64_intdigest
 
-        def plain(word: bytes) -> int:
-            w = word.decode("utf-8", "replace").lower().strip(_EDGES)
-            return digest(w.encode()) or 1 if w else 0
-
-        self.digest = plain
+        self.digest, self.most, self.known = xxh3_64_intdigest, most, {}
 
     def text(self, text: bytes) -> np.ndarray:
-        h = self(text.split())
+        words, known = text.split(), self.known
+        if len(known) > self.most:
+            known.clear()
+        for w in set(words).difference(known):
+            plain = w.decode("utf-8", "replace").lower().strip(_EDGES)
+            known[w] = self.digest(plain.encode()) or 1 if plain else 0  # 0: punctuation alone
+        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         return h[h != 0]
 
 

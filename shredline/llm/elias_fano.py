@@ -9,31 +9,24 @@ import json
 import numpy as np
 
 _ONE = np.uint64(1)
-_BLOCK = 8  # words
-_SELECT = np.zeros((256, 8), np.uint8)
+_SELECT = np.zeros((256, 8), np.int64)
 for _byte in range(256):
     for _k, _bit in enumerate(b for b in range(8) if _byte >> b & 1):
         _SELECT[_byte, _k] = _bit
 
 
 def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: np.uint64) -> np.ndarray:
-    """Positions of the k-th (from 0) set bits of ``words ^ flip``; before: how many precede each block."""
-    block = np.searchsorted(before, k, side="right") - 1
-    left = k - before[block]
-    word = block * _BLOCK
-    active = np.arange(len(k))
-    while len(active):
-        n = np.bitwise_count(words[word[active]] ^ flip).astype(np.int64)
-        on = left[active] >= n
-        active, n = active[on], n[on]
-        left[active] -= n
-        word[active] += 1
-    value = (words[word] ^ flip).view(np.uint8).reshape(-1, 8)
-    sums = np.cumsum(np.bitwise_count(value), axis=1, dtype=np.uint8)
-    byte = (sums <= left[:, None]).sum(1)
-    row = np.arange(len(k))
-    left = left - np.where(byte > 0, sums[row, byte - 1], 0)
-    return word * 64 + byte * 8 + _SELECT[value[row, byte], left]
+    """Positions of the k-th (from 0) set bits of ``words ^ flip``; before: how many precede each word."""
+    word = np.searchsorted(before, k, side="right") - 1
+    left, value, at = k - before[word], words[word] ^ flip, word * 64
+    for half in (32, 16, 8):
+        lower = value & np.uint64((1 << half) - 1)
+        n = np.bitwise_count(lower).astype(np.int64)
+        on = left >= n
+        left -= np.where(on, n, 0)
+        at += np.where(on, half, 0)
+        value = np.where(on, value >> np.uint64(half), lower)
+    return at + _SELECT[value.astype(np.intp), left]
 
 
 class EliasFano:
@@ -51,15 +44,13 @@ class EliasFano:
         width = max(0, (universe // max(n, 1)).bit_length() - 1)
         buckets = (universe >> width) + 1
         bits = n + buckets + 1
-        words = -(-bits // 64)
-        words += -words % _BLOCK + _BLOCK
+        words = -(-bits // 64) + 1
         place = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
         flags = np.zeros(words * 64, bool)
         flags[place] = True
         high = np.packbits(flags, bitorder="little").view(np.uint64)
-        each = np.bitwise_count(high).astype(np.int64).reshape(-1, _BLOCK).sum(1)
-        ones = np.concatenate([[0], np.cumsum(each)[:-1]])
-        zeros = np.arange(len(ones)) * 64 * _BLOCK - ones
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)[:-1]])
+        zeros = np.arange(len(ones)) * 64 - ones
         low = np.zeros(n * width // 64 + 2, np.uint64)
         if width:
             value = values & np.uint64((1 << width) - 1)
@@ -92,10 +83,14 @@ class EliasFano:
             return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
         h = np.minimum((values >> np.uint64(self.width)).astype(np.int64), self.most - 1)
         rest = values & self.mask
-        end = _select(self.high, self.zeros, h, ~np.uint64(0)) - h
-        start = np.zeros_like(end)
+        at = np.zeros_like(h)  # the first bit of the bucket: after the zero that ends the one before
         some = np.flatnonzero(h)
-        start[some] = _select(self.high, self.zeros, h[some] - 1, ~np.uint64(0)) + 1 - h[some]
+        at[some] = _select(self.high, self.zeros, h[some] - 1, ~np.uint64(0)) + 1
+        start = at - h
+        ends = ~self.high[at >> 6] >> (at & 63).astype(np.uint64)
+        end = start + np.bitwise_count((ends & (~ends + _ONE)) - _ONE)
+        some = np.flatnonzero(ends == 0)  # the bucket goes on in the next word
+        end[some] = _select(self.high, self.zeros, h[some], ~np.uint64(0)) - h[some]
         low, high = start, end.copy()
         active = np.flatnonzero(low < high)
         while len(active):

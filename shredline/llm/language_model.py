@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHasher, Workspace, crc_mod, slices, table, texts
+from .common import Workspace, crc_mod, slices, table, texts, word_hashes
 from .elias_fano import EliasFano, pack, unpack
 
 FOLDS, HELD_OUT = 7, 2
@@ -90,13 +90,11 @@ def expand(blob: bytes, *kinds: type) -> list[np.ndarray]:
 
 def token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """doc_ids, token hashes with the end tokens, and tokens by document, for batches of about BATCH_TOKENS."""
-    hasher, ids, parts, sizes, total = WordHasher(), [], [], [], 0
-    digest = hasher.digest
-    hasher.digest = lambda w: digest(w) or 1
+    ids, parts, sizes, total = [], [], [], 0
     for batch in slices(batches, 256):
         ids += batch.column("doc_id").to_pylist()
         for t in texts(batch):
-            words = hasher(t.lower().split())
+            words = word_hashes(t.lower().split())
             parts += [words, np.array([END])]
             sizes.append(len(words) + 1)
             total += len(words) + 1
@@ -203,7 +201,7 @@ def count_grams(train: DataFrame, vocabulary: Vocabulary, bounds: np.ndarray) ->
             words, back = np.unique(tokens, return_inverse=True)
             w = vocabulary.find(words)[0][back]
             v, u = grams(w, sizes, start)
-            order = np.lexsort((w, u, v))
+            order = sorting(v, u, vocabulary.size, w)
             u, v, w = u[order], v[order], w[order]
             first = np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (u[1:] != u[:-1]) | (v[1:] != v[:-1])]))
             n = np.diff(np.concatenate([first, [len(w)]])).astype(np.uint32)
@@ -222,9 +220,17 @@ def quantised(values: np.ndarray, name: str) -> dict[str, np.ndarray]:
     return {name: np.rint(-values * (65535 / most)).astype(np.uint16), f"{name}.step": np.array([most / 65535])}
 
 
-def merge_grams(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+def sorting(v: np.ndarray, u: np.ndarray, wide: int, w: np.ndarray | None = None) -> np.ndarray:
+    """The order by v, u and w; ids are -1 to ``wide``."""
+    keys = (v * (wide + 2) + u,) if wide < 1 << 31 else (u, v)
+    if w is None and len(keys) == 1:
+        return np.argsort(keys[0])
+    return np.lexsort(keys if w is None else (w, *keys))
+
+
+def merge_grams(parts: list[tuple[np.ndarray, ...]], wide: int) -> tuple[np.ndarray, ...]:
     v, u, w, n = (np.concatenate([p[i] for p in parts]) for i in range(4))
-    order = np.lexsort((w, u, v))
+    order = sorting(v, u, wide, w)
     v, u, w, n = v[order], u[order], w[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (u[1:] != u[:-1]) | (w[1:] != w[:-1])]))
     return v[first], u[first], w[first], np.add.reduceat(n, first)
@@ -275,9 +281,9 @@ def build_trie(blobs: DataFrame, vocabulary: Vocabulary, bounds: np.ndarray, fol
             parts.append(tuple(x.astype(np.int64) for x in expand(blob, kind, kind, kind, np.uint32)))
             size += len(parts[-1][0])
             if size > 4_000_000 and len(parts) > 1:
-                parts = [merge_grams(parts)]
+                parts = [merge_grams(parts, vocabulary.size)]
                 size = len(parts[0][0]) // 2
-        v, u, w, n = merge_grams(parts)
+        v, u, w, n = merge_grams(parts, vocabulary.size)
         folder.write(f"trie-{shard}", pack(build_shard(v, u, w, n, int(bounds[shard]), int(bounds[shard + 1]), vocabulary)))
         return pa.table({"shard": pa.array([shard], pa.int32()), "grams": pa.array([len(v)], pa.int64())})
 
@@ -331,23 +337,27 @@ class Trie:
 SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_documents(docs: DataFrame, vocabulary: Vocabulary, bounds: np.ndarray, folder: SharedFolder) -> DataFrame:
-    start = vocabulary.size
+def score_tokens(tokens: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary, bounds: np.ndarray, folder: SharedFolder) -> tuple[np.ndarray, ...]:
+    """For each token its base log probability, whether it is known, and the model's log probability."""
+    words, back = np.unique(tokens, return_inverse=True)
+    word_id, counts = vocabulary.find(words)
+    base = vocabulary.log_base(counts)
+    w, base, known = word_id[back], base[back], (counts > 0)[back]
+    v, u = grams(w, sizes, vocabulary.size)
+    order = sorting(v, u, vocabulary.size)
+    score = base.copy()
+    cuts = np.searchsorted(v[order], bounds)
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        if a < b:
+            at = order[a:b]
+            score[at] = Trie(folder.read(f"trie-{k}")).log_probability(u[at], v[at], w[at], base[at])
+    return base, known, score
 
+
+def score_documents(docs: DataFrame, vocabulary: Vocabulary, bounds: np.ndarray, folder: SharedFolder) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, tokens, sizes in token_batches(batches):
-            words, back = np.unique(tokens, return_inverse=True)
-            word_id, counts = vocabulary.find(words)
-            base = vocabulary.log_base(counts)
-            w, base, known = word_id[back], base[back], (counts > 0)[back]
-            v, u = grams(w, sizes, start)
-            order = np.lexsort((u, v))
-            score = base.copy()
-            cuts = np.searchsorted(v[order], bounds)
-            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if a < b:
-                    at = order[a:b]
-                    score[at] = Trie(folder.read(f"trie-{k}")).log_probability(u[at], v[at], w[at], base[at])
+            base, known, score = score_tokens(tokens, sizes, vocabulary, bounds, folder)
             first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             total = np.full(len(ids), vocabulary.tokens, np.int64)
             columns = [ids, sizes, np.add.reduceat(known.astype(np.int64), first), total, np.add.reduceat(base, first), np.add.reduceat(score, first)]
