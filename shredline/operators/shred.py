@@ -12,18 +12,21 @@ import xml.etree.ElementTree as ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import blank_to_null, try_compact_date, try_index
 from ..functions.fields import WIDE, WIDE_ARRAYS
 
 ENTRY = "array<struct<_VALUE:string,_m:string>>"
-GROUPS = f"array<struct<code:string,entries:{ENTRY}>>"
+# a type, not text, as text needs a session when the module is imported
+_ENTRIES = T.ArrayType(T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_m", T.StringType())]))
+GROUP_TYPE = T.ArrayType(T.StructType([T.StructField("code", T.StringType()), T.StructField("entries", _ENTRIES)]))
 DEFAULT_CODES = sorted({c for c, _ in WIDE + WIDE_ARRAYS}, key=lambda c: int(c[1:]))
 NAME_LENGTH, INDEX_LENGTH, VALUE_LENGTH = 16, 10, 4000
 DATE_CODE = "c167"
 
 
-@F.pandas_udf(GROUPS)
+@F.pandas_udf(GROUP_TYPE)
 def _general(texts: pd.Series) -> pd.Series:
     """Groups of a record by DOM; null for null, blank or malformed text, and none for another root."""
 
