@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -28,11 +29,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Bytes of an Arrow batch between the JVM and Python. Both sides hold several copies of each task's batch.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_BYTES, so that tasks' memory doesn't depend on the texts' lengths."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", spark.conf.get(key, "67108864"))) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 class Workspace:
     """Written intermediate tables in the shared folder: they cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        small_batches(spark)
         self.root = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shingle_hashes, slices, table, texts
+from .common import shingle_hashes, slices, small_batches, table, texts
 
 MIN_TILE = 5
 COVERAGE = 0.6
@@ -165,6 +165,7 @@ class Matcher:
 
 def matchers(spark: SparkSession, benchmark: DataFrame, coverage: float) -> Iterator[Callable[[], Matcher]]:
     """A broadcast matcher for each block of the benchmark."""
+    small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     blocks = -(-size // BLOCK_BYTES)

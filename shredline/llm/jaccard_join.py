@@ -211,26 +211,30 @@ def bitmap(points: DataFrame, spark: SparkSession) -> np.ndarray:
     return np.unpackbits(packed).astype(bool)
 
 
-def fetch_sets(docs: DataFrame, wanted) -> DataFrame:
-    """fp, n, classes, shingles for the points that may be wanted, once each."""
+def fetch_points(docs: DataFrame, wanted, columns: list[str]) -> DataFrame:
+    """fp, n and ``classes`` or ``shingles`` of the points that may be wanted, once each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, bits = set(), wanted.value
         for batch in slices(batches):
-            rows = []
+            out: dict[str, list] = {c: [] for c in ("fp", "n", *columns)}
             for s in document_sets(batch):
                 if len(s) and (fp := point(s)) not in seen and bits[(fp & (1 << 64) - 1) >> 64 - BLOOM_BITS]:
                     seen.add(fp)
-                    classes = np.minimum(np.bincount((s % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES), 255)
-                    rows.append((fp, len(s), classes.astype(np.uint8).tobytes(), s.tobytes()))
+                    out["fp"].append(fp)
+                    out["n"].append(len(s))
+                    if "classes" in out:
+                        classes = np.minimum(np.bincount((s % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES), 255)
+                        out["classes"].append(classes.astype(np.uint8).tobytes())
+                    if "shingles" in out:
+                        out["shingles"].append(s.tobytes())
             if len(seen) > 500_000:
                 seen.clear()
-            if rows:
-                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["fp", "n", "classes", "shingles"])
+            if out["fp"]:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if c in ("fp", "n") else pa.binary()) for c, v in out.items()], names=list(out))
 
-    found = docs.select("text").mapInArrow(run, "fp long, n long, classes binary, shingles binary")
-    return found.groupBy("fp").agg(F.first("n").alias("n"), F.first("classes").alias("classes"), F.first("shingles").alias("shingles"))
+    found = docs.select("text").mapInArrow(run, "fp long, n long, " + ", ".join(f"{c} binary" for c in columns))
+    return found.groupBy("fp").agg(*(F.first(c).alias(c) for c in ("n", *columns)))
 
 
 def both_sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -314,30 +318,30 @@ class Join:
         self.candidates = space.save(scattered.groupBy("shard").applyInArrow(lambda t: join_shard(t), CANDIDATES), "candidates")
         return rows
 
-    def measure(self, pairs: DataFrame, name: str) -> DataFrame:
-        return self.intersect(self.space.save(both_sides(pairs, self.sets, "classes").mapInArrow(bounded, "a long, b long"), f"bounded-{name}"), name)
-
     def against_pivots(self, now: DataFrame) -> DataFrame:
         """Links of chosen pivots and sets of their regions. A task holds a block of a region's sets and the
         region's pivots of this turn, each of about BLOCK_CELLS shingles."""
-        now = now.join(self.sets.select("fp", "classes", "shingles"), "fp")
+        open_points = self.sets.join(now.select("fp").distinct(), "fp", "left_semi").select("fp", "classes", "shingles")
+        now = now.join(open_points, "fp")
         own = [F.col(c) for c in ("region", "fp", "root", "n", "at", "distance", "classes", "shingles")]
         sets = now.select(*own, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("pivot"))
         pivots = now.where("chosen").select(*own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("pivot"))
         return sets.unionByName(pivots).groupBy("region", "block").applyInArrow(lambda t: links_with_pivots(t), "a long, b long")
 
-    def intersect(self, kept: DataFrame, name: str) -> DataFrame:
-        return self.space.save(both_sides(kept, self.sets, "shingles").mapInArrow(measured, "a long, b long, linked boolean, distance double"), f"measured-{name}")
+    def fetch(self, points: DataFrame, columns: list[str], name: str) -> DataFrame:
+        shared = self.spark.sparkContext.broadcast(bitmap(points, self.spark))
+        return self.space.save(fetch_points(self.docs, shared, columns), name)
 
     def links(self) -> DataFrame:
         """root of every point with a link."""
         space = self.space
         pairs = space.save(self.candidates.where(F.col("b").isNotNull()).select("a", "b").distinct(), "pairs")
         members = self.candidates.where(F.col("region").isNotNull()).select(F.col("a").alias("fp"), "region", "pivot", "n", "at")
-        wanted = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).unionByName(members.select("fp")).distinct()
-        shared = self.spark.sparkContext.broadcast(bitmap(wanted, self.spark))
-        self.sets = space.save(fetch_sets(self.docs, shared), "points")
-        found = self.measure(pairs, "0")
+        ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("fp"))
+        classes = self.fetch(ends(pairs).distinct(), ["classes"], "classes")
+        kept = space.save(both_sides(pairs, classes, "classes").mapInArrow(bounded, "a long, b long"), "bounded")
+        self.sets = self.fetch(ends(kept).unionByName(members.select("fp")).distinct(), ["classes", "shingles"], "sets-of-points")
+        found = space.save(both_sides(kept, self.sets, "shingles").mapInArrow(measured, "a long, b long, linked boolean, distance double"), "measured")
         edges = found.where("linked").select("a", "b")
         roots = components(edges, space, "roots-0")
         if members.isEmpty():

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shingle_hashes, slices, table, texts
+from .common import shingle_hashes, slices, small_batches, table, texts
 from .decontamination import PlainWords
 
 # Notices as their licences publish them.
@@ -165,6 +165,7 @@ class Model:
 
 def license_paragraphs(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per paragraph that is a licence notice: doc_id, paragraph (from 0), family, probability, similarity, notice."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(Model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
