@@ -1,7 +1,7 @@
 """Main text of pages by a site style tree.
 
 Pages of one host are merged: a node of the tree is a path of tags and classes, and what the host's pages have there is
-a distribution of looks (the sequence of child elements) and one of contents (the text of a block). A node's importance is
+a distribution of looks (the sequence of child elements) and one of contents (the text of a branch). A node's importance is
 the larger of the two entropies, each divided by the logarithm of the number of occurrences: what looks and reads alike
 wherever it occurs has importance near 0. Branches below ``LEAST_IMPORTANCE`` are removed from each page, where the
 node occurs ``LEAST_PAGES`` times or more; so are branches whose element, role or class names mark them as not part
@@ -151,20 +151,26 @@ def clean(text: str) -> str:
 
 
 def features(root: Node) -> Iterator[tuple[int, int, int]]:
-    """(key, kind, value) of a page's nodes: 0, looks; 1, contents."""
+    """(key, kind, value) of a page's nodes: 0, looks; 1, contents, of a node with all that is under it."""
     from xxhash import xxh3_64_intdigest as digest
 
-    todo = [root]
+    order, todo = [], [root]
     while todo:
         node = todo.pop()
+        order.append(node)
+        todo += [c for c in node.children if isinstance(c, Node)]
+    content: dict[int, int] = {}  # by id of the node; 0: none
+    for node in reversed(order):  # children before parents
         elements = [c for c in node.children if isinstance(c, Node)]
-        todo += elements
+        text = clean(" ".join(c for c in node.children if isinstance(c, str)))
+        under = [content.pop(id(c)) for c in elements]
+        own = b"".join([text.encode(), *(x.to_bytes(8, "little") for x in under if x)])
+        content[id(node)] = digest(own) if own else 0
         if node.tag and node.tag not in ("html", "body") and node.tag not in DROPPED:
-            text = clean(" ".join(c for c in node.children if isinstance(c, str)))
             if elements:
                 yield node.key, 0, digest(" ".join(c.tag for c in elements).encode())
-            if text:
-                yield node.key, 1, digest(text.encode())
+            if own:
+                yield node.key, 1, content[id(node)]
 
 
 def blocks(root: Node) -> list[str]:
