@@ -74,7 +74,7 @@ class SharedFolder:
 
 def squeeze(*columns: np.ndarray) -> bytes:
     """Columns of one length as compressed bytes."""
-    body = np.concatenate([np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.ravel() for c in columns])
+    body = np.concatenate([np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.ravel() for c in columns])
     return zstandard.ZstdCompressor(level=1).compress(body.tobytes())
 
 

@@ -35,7 +35,10 @@ MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def lowered(text: str) -> str:
-    """Lower case where that is what the tokenizer's normaliser makes of it for certain: in Latin-1."""
+    """Lower case where that is what the tokenizer's normaliser makes of it for certain: in Latin-1, and without what
+    could become the name of a special token."""
+    if "<|" in text:
+        return text
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
@@ -85,8 +88,8 @@ class WordEncoder:
         split, letters, others = {}, set(), set()
         for w in new:
             run = w.rstrip(MARKS)
-            if run.isalpha() and (run.isascii() or max(run) < "\u0250"):
-                low, marks = run.lower(), w[len(run) :]
+            low, marks = run.lower(), w[len(run) :]
+            if low.isalpha() and (run.isascii() or max(run) < "\u0250"):
                 letters.add(low)
                 others.add(marks)
                 split[w] = (low, marks)
