@@ -1,13 +1,17 @@
 """XML records to attribute rows.
 
-``from_xml`` reads the expected field codes in the JVM. A record goes the general route, an Arrow function over a DOM, when
-the number of start tags in its text is not one more than the number of elements read: fields with other names, nested
-content, comments, CDATA, or another root. Both routes give the same groups, so the plan has one scan and one parse, and
-Python receives nulls for records that need nothing of it. Malformed records give no rows; ``quarantined`` lists them."""
+A record is simple when its text is a ``row`` element whose children have no more than an ``m`` attribute and text
+with the five named entities: every ``<`` then belongs to the root or to a child that one pattern finds, which is
+counted. Simple records, which is nearly all, are cut into child elements by that pattern in the JVM, with any element names.
+The others (comments, CDATA, nested content, other attributes, empty-element tags, numeric references, another
+root, malformed text) go through an Arrow function over a DOM that gives the same canonical elements, so the plan has one
+scan, and Python receives nulls for records that need nothing of it. Malformed records give no rows; ``quarantined``
+lists them."""
 
 from __future__ import annotations
 
 import xml.etree.ElementTree as ElementTree
+from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,20 +19,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import blank_to_null, try_compact_date, try_index
-from ..functions.fields import WIDE, WIDE_ARRAYS
 
-ENTRY = "array<struct<_VALUE:string,_m:string>>"
-# a type, not text, as text needs a session when the module is imported
-_ENTRIES = T.ArrayType(T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_m", T.StringType())]))
-GROUP_TYPE = T.ArrayType(T.StructType([T.StructField("code", T.StringType()), T.StructField("entries", _ENTRIES)]))
-DEFAULT_CODES = sorted({c for c, _ in WIDE + WIDE_ARRAYS}, key=lambda c: int(c[1:]))
 NAME_LENGTH, INDEX_LENGTH, VALUE_LENGTH = 16, 10, 4000
 DATE_CODE = "c167"
+_NAME = r"[A-Za-z_][\w.\-]*"
+_CHILD = rf'<({_NAME})(?: m="[^"<>]*")?>[^<]*</\1>'
+_ROOT = rf'\A<row(?:\s+{_NAME}="[^"<]*")*\s*>'
+_ENTITY = "&(?:lt|gt|amp|quot|apos);"
+_ODD = r"\]\]>|[\x00-\x08\x0B-\x1F\uFFFE\uFFFF]"
 
 
-@F.pandas_udf(GROUP_TYPE)
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _general(texts: pd.Series) -> pd.Series:
-    """Groups of a record by DOM; null for null, blank or malformed text, and none for another root."""
+    """Canonical child elements by DOM; null for null, blank or malformed text, and none for another root."""
 
     def one(text: str | None) -> list | None:
         if text is None:
@@ -37,23 +40,46 @@ def _general(texts: pd.Series) -> pd.Series:
             root = ElementTree.fromstring(text)
         except ElementTree.ParseError:
             return None
-        return [] if root.tag != "row" else [{"code": e.tag, "entries": [{"_VALUE": e.text, "_m": e.get("m")}]} for e in root]
+        if root.tag != "row":
+            return []
+        marks = (f' m="{escape(e.get("m"), {chr(34): "&quot;"})}"' if e.get("m") else "" for e in root)
+        return [f"<{e.tag}{m}>{escape(e.text or '')}</{e.tag}>" for e, m in zip(root, marks)]
 
     return texts.map(one)
 
 
-def _groups(records: DataFrame, codes: list[str]) -> DataFrame:
-    """recid, currency, xmlrecord, groups."""
-    schema = ", ".join(f"`{c}` {ENTRY}" for c in codes) + ", _bad string"
-    options = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord": "_bad"}
-    parsed = records.select("recid", "currency", "xmlrecord", F.from_xml("xmlrecord", F.lit(schema), options).alias("p"))
-    read = sum((F.coalesce(F.size(F.col(f"p.`{c}`")), F.lit(0)) for c in codes), F.lit(0))
-    simple = F.col("xmlrecord").startswith("<row") & (F.regexp_count("xmlrecord", F.lit("<[^/]")) == read + 1) & F.col("p._bad").isNull()
-    simple = F.coalesce(simple, F.lit(False))
-    native = F.array(*(F.struct(F.lit(c).alias("code"), F.col(f"p.`{c}`").alias("entries")) for c in codes))
-    flagged = parsed.withColumn("simple", simple)
-    general = _general(F.when(~F.col("simple"), F.col("xmlrecord")))
-    return flagged.select("recid", "currency", "xmlrecord", F.when(F.col("simple"), native).otherwise(general).alias("groups"))
+def _elements(records: DataFrame) -> DataFrame:
+    """recid, currency, xmlrecord and the record's child elements in canonical text."""
+    xml = F.col("xmlrecord")
+    count = lambda pattern: F.regexp_count(xml, F.lit(pattern))
+    cut = records.select("recid", "currency", "xmlrecord", F.regexp_extract_all(xml, F.lit(_CHILD), F.lit(0)).alias("children"))
+    simple = (
+        xml.startswith("<row")
+        & F.rtrim(xml).endswith("</row>")
+        & (F.length(xml) - F.length(F.replace(xml, F.lit("<"), F.lit(""))) == 2 * F.size("children") + 2)
+        & (~xml.contains("&") | (count("&") == count(_ENTITY)))
+        & ~xml.rlike(_ODD)
+        & xml.rlike(_ROOT)
+    )
+    flagged = cut.withColumn("simple", F.coalesce(simple, F.lit(False)))
+    general = _general(F.when(~F.col("simple"), xml))
+    return flagged.select("recid", "currency", "xmlrecord", F.when(F.col("simple"), F.col("children")).otherwise(general).alias("children"))
+
+
+def _parts(element: Column) -> tuple[Column, Column, Column]:
+    """Name, index text and value of a canonical element; empty text where the element has none."""
+
+    def decoded(c: Column) -> Column:
+        plain = c
+        for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+            plain = F.replace(plain, F.lit(a), F.lit(b))
+        return F.when(c.contains("&"), plain).otherwise(c)
+
+    head = F.substring_index(element, ">", 1)
+    name = F.substring_index(F.substr(head, F.lit(2)), " ", 1)
+    index = F.substr(head, F.length(name) + 6, F.greatest(F.length(head) - F.length(name) - 6, F.lit(0)))
+    value = F.substr(element, F.length(head) + 2, F.length(element) - F.length(head) - F.length(name) - 4)
+    return name, decoded(index), decoded(value)
 
 
 def _checked(c: Column, most: int, what: str, overlong: str) -> Column:
@@ -64,32 +90,33 @@ def _checked(c: Column, most: int, what: str, overlong: str) -> Column:
     return c
 
 
-def shred(records: DataFrame, ingested_at: Column | None = None, codes: list[str] | None = None, overlong: str = "fail", with_date: bool = False) -> DataFrame:
+def shred(records: DataFrame, ingested_at: Column | None = None, overlong: str = "fail", with_date: bool = False) -> DataFrame:
     """One row per child element: recid, currency, field_index, multi_value_index, field_value, ingested_at.
 
     ``with_date`` adds the record's source_updated_date, from the first c167. ``overlong`` is ``fail``, ``truncate`` or
     ``keep`` for names, indices and values beyond their lengths. Null, malformed and childless records give no rows."""
-    grouped = _groups(records, codes or DEFAULT_CODES)
+    cut = _elements(records)
     if with_date:
-        dates = F.expr(f"flatten(transform(filter(groups, g -> g.code = '{DATE_CODE}'), g -> coalesce(g.entries, array())))")
-        grouped = grouped.withColumn("source_updated_date", try_compact_date(F.get(dates, F.lit(0))["_VALUE"]))
+        dates = F.expr(f"filter(children, e -> e LIKE '<{DATE_CODE}>%' OR e LIKE '<{DATE_CODE} %')")
+        cut = cut.withColumn("source_updated_date", try_compact_date(_parts(F.get(dates, F.lit(0)))[2]))
     extra = ["source_updated_date"] if with_date else []
-    rows = grouped.select("recid", "currency", *extra, F.explode("groups").alias("g"))
-    rows = rows.select("recid", "currency", *extra, F.col("g.code").alias("code"), F.explode("g.entries").alias("e"))
+    # explode would add a filter that makes the children a second time, below
+    rows = cut.select("recid", "currency", *extra, F.explode_outer("children").alias("element")).where(F.col("element").isNotNull())
+    name, index, value = _parts(F.col("element"))
     return rows.select(
         "recid",
         "currency",
-        _checked(F.col("code"), NAME_LENGTH, "element name", overlong).alias("field_index"),
-        try_index(_checked(F.col("e._m"), INDEX_LENGTH, "index", overlong)).alias("multi_value_index"),
-        blank_to_null(_checked(F.col("e._VALUE"), VALUE_LENGTH, "value", overlong)).alias("field_value"),
+        _checked(name, NAME_LENGTH, "element name", overlong).alias("field_index"),
+        try_index(_checked(index, INDEX_LENGTH, "index", overlong)).alias("multi_value_index"),
+        blank_to_null(_checked(value, VALUE_LENGTH, "value", overlong)).alias("field_value"),
         *extra,
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
     )
 
 
-def quarantined(records: DataFrame, codes: list[str] | None = None) -> DataFrame:
+def quarantined(records: DataFrame) -> DataFrame:
     """recid, xmlrecord of the records that are not well-formed (null records are not)."""
-    return _groups(records, codes or DEFAULT_CODES).where(F.col("groups").isNull() & F.col("xmlrecord").isNotNull()).select("recid", "xmlrecord")
+    return _elements(records).where(F.col("children").isNull() & F.col("xmlrecord").isNotNull()).select("recid", "xmlrecord")
 
 
 def first_value(xml: Column, code: str) -> Column:

@@ -82,4 +82,6 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 17 == 0, element("c99", F.lit("alt"), F.lit("x"))).otherwise(F.lit("")),
         element("c100", F.lit(None).cast("string")),
     )
-    return orders.join(repeated, "o_orderkey", "left").select(recid.alias("recid"), document.alias("xmlrecord"), F.col("o_orderstatus").alias("currency"))
+    made = orders.join(repeated, "o_orderkey", "left").select(recid.alias("recid"), document.alias("xmlrecord"), F.col("o_orderstatus").alias("currency"))
+    # each text is made once, not in every expression that reads it, and later groups by recid need no other shuffle
+    return made.repartition("recid")
