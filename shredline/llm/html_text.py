@@ -63,6 +63,10 @@ MARKED = frozenset(
     " overlay newsletter subscribe signup login sidebar widget menu nav navbar navigation breadcrumb breadcrumbs footer comments comment disqus replies reply"
     " respond toolbar pagination pager masthead topbar copyright social share sharing related recommended tracking".split()
 )
+#: First parts of names that tell of a page's state and not of what an element is: no-sidebar, has-banner.
+STATES = frozenset("no not has with without is hide hides".split())
+#: What an article is made of is never unimportant by itself; branches in it are.
+KEPT = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
 MARKED_OUTSIDE = frozenset({"header"})  # of a page, not of an article
 
 
@@ -123,7 +127,7 @@ def parse(page: str, host: str) -> Node:
             for k, *v in _ATTRIBUTE.findall(attributes):
                 k, value = k.lower(), (v[0] or v[1] or v[2]).lower()
                 if k == "class" or k == "id":
-                    names = set(_NAMES.findall(value))
+                    names = {n for whole in value.split() if (found := _NAMES.findall(whole)) and found[0] not in STATES for n in found}
                     drop |= bool(names & MARKED) or not articles and bool(names & MARKED_OUTSIDE)
                     if k == "class":
                         look = f"{name}.{value}"
@@ -166,7 +170,7 @@ def features(root: Node) -> Iterator[tuple[int, int, int]]:
         under = [content.pop(id(c)) for c in elements]
         own = b"".join([text.encode(), *(x.to_bytes(8, "little") for x in under if x)])
         content[id(node)] = digest(own) if own else 0
-        if node.tag and node.tag not in ("html", "body") and node.tag not in DROPPED:
+        if node.tag and node.tag not in KEPT and node.tag not in DROPPED:
             if elements:
                 yield node.key, 0, digest(" ".join(c.tag for c in elements).encode())
             if own:

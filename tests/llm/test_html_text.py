@@ -27,6 +27,7 @@ def extract(spark, pages):
         ("<article>one</article><article class='comment'>no</article><article>two</article>", "one\ntwo"),
         ("<article><a href='x>y'>link</a> <em title=\"<p>\">e</em></article>", "link e"),
         ("<article>1 < 2 and <3</article>", "1 < 2 and <3"),
+        ("<div class='layout no-sidebar'><p>kept</p><div class='left sidebar'>no</div></div>", "kept"),
         ("<ARTICLE><P CLASS=x>up</P></ARTICLE>", "up"),
         ("<script>no end", ""),
         ("<!-- no end <article>x</article>", ""),
@@ -52,7 +53,8 @@ def test_site_style_tree(spark, monkeypatch, most):
         assert got[k, f"http://a.example/{k}"] == f"Own text {k}\nShared line"
     for k in range(3):  # too few pages to tell
         assert got[k, f"http://b.example/{k}"] == f"Shared words of the site\nOwn text {k}\nShared line"
-    assert got[40, "http://copies.example/"] == "Shared words of the site\nOwn text 0\nShared line"
+    # paragraphs and headings are kept where a host has copies of one page only
+    assert got[40, "http://copies.example/"] == "Own text 0\nShared line"
     assert got[99, None] == "" and got[99, "http://a.example/0"] == ""
 
 
