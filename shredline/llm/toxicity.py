@@ -4,7 +4,9 @@ Texts are lower-cased, runs of white space become one space and the whole is pad
 character n-grams of ``SIZES`` hashed into ``2**BITS`` cells; a text has a cell or has it not. The classifier is fitted
 on at most ``SAMPLE_ROWS`` labelled training rows (those whose id hashes lowest): executors count in how many rows of
 each class a cell occurs, the ``CELLS`` cells with the largest log-count ratios for their frequency are kept, and
-logistic regression with an L2 penalty is fitted on presence times ratio. Scoring reads every whole text in one pass
+logistic regression with an L2 penalty is fitted on presence times ratio. Ratios and weights flatter the rows that they
+come from, so slope and intercept of the final score are fitted on scores of ``CALIBRATION_FOLDS`` models for the rows that each
+has not seen. Scoring reads every whole text in one pass
 against one weight vector of fixed size.
 
 Defined cases: null and empty texts have the n-grams of the padding alone, none, and score the intercept; repeated
@@ -28,6 +30,7 @@ BITS = 20
 SAMPLE_ROWS = 8192
 CELLS = 16384
 PENALTY = 1.0
+CALIBRATION_FOLDS = 4
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
 
@@ -115,10 +118,39 @@ def fit_logistic(x: SparseRows, y: np.ndarray, penalty: float, steps: int = 12)
     return w, b
 
 
+def log_ratio(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Log of the smoothed shares of class 1's and class 0's rows."""
+    share = [(counts[k] + 1.0) / (rows[k] + 2.0) for k in (0, 1)]
+    return np.log(share[1] / share[0])
+
+
+def fit_line(scores: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of a logistic regression on one score."""
+    scale = scores.std() + 1e-9
+    a, t = np.stack([scores / scale, np.ones_like(scores)], 1), np.array([1.0, 0.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(a @ t, -40, 40)))
+        t = t + np.linalg.solve((a * (p * (1 - p) + 1e-9)[:, None]).T @ a + 1e-3 * np.eye(2), a.T @ (y - p) - 1e-3 * t)
+    return float(t[0] / scale), float(t[1])
+
+
+def calibration(cells: list[np.ndarray], y: np.ndarray, width: int) -> tuple[float, float]:
+    """Slope and intercept from scores of rows by models without them."""
+    fold, scores = np.arange(len(y)) % CALIBRATION_FOLDS, np.zeros(len(y))
+    for k in range(CALIBRATION_FOLDS):
+        learn, rest = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        parts = [[cells[i] for i in learn if y[i] == c] for c in (0, 1)]
+        if not len(rest) or not all(parts):
+            return 1.0, 0.0
+        ratio = log_ratio(np.stack([np.bincount(np.concatenate(p), minlength=width) for p in parts]), np.array([len(p) for p in parts]))
+        w, b = fit_logistic(SparseRows([cells[i] for i in learn], ratio), y[learn], PENALTY)
+        scores[rest] = SparseRows([cells[i] for i in rest], ratio).dot(w) + b
+    return fit_line(scores, y)
+
+
 def choose_cells(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Kept cells and their log-count ratios: log of smoothed shares of class 1 over class 0."""
-    share = [(counts[k] + 1.0) / (rows[k] + 2.0) for k in (0, 1)]
-    ratio = np.log(share[1] / share[0])
+    ratio = log_ratio(counts, rows)
     total = counts.sum(0)
     weight = np.where(total >= 3, np.abs(ratio) * np.sqrt(total), 0.0)
     cells = np.argsort(-weight, kind="stable")[:CELLS]
@@ -151,10 +183,11 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str = "
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([p.tobytes() for p in parts], pa.binary())], names=["label", "cells"])
 
     got = sample.orderBy("doc_id").select("text", "label").mapInArrow(run, "label int, cells binary").collect()  # at most SAMPLE_ROWS * CELLS numbers
-    x = SparseRows([np.searchsorted(cells, np.frombuffer(r.cells, np.int32)) for r in got], ratio)
-    w, b = fit_logistic(x, np.array([r.label for r in got], float), PENALTY)
-    weights[cells] = w * ratio
-    return weights, b
+    own, y = [np.searchsorted(cells, np.frombuffer(r.cells, np.int32)) for r in got], np.array([r.label for r in got], float)
+    w, b = fit_logistic(SparseRows(own, ratio), y, PENALTY)
+    slope, shift = calibration(own, y, len(cells))
+    weights[cells] = slope * w * ratio
+    return weights, slope * b + shift
 
 
 def toxicity_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
