@@ -87,7 +87,7 @@ class SparseRows:
         return np.bincount(self.cols, self.values * v[self.row], self.shape[1])
 
 
-def fit_logistic(x: SparseRows, y: np.ndarray, penalty: float, steps: int = 12) -> tuple[np.ndarray, float]:
+def fit_logistic(x: SparseRows, y: np.ndarray, penalty: float, steps: int = 6, inner: int = 10) -> tuple[np.ndarray, float]:
     """Newton steps by conjugate gradients; the intercept is not penalised."""
     w, b = np.zeros(x.shape[1]), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     for _ in range(steps):
@@ -104,7 +104,7 @@ def fit_logistic(x: SparseRows, y: np.ndarray, penalty: float, steps: int = 12)
         pw, pb = rw.copy(), rb
         size = rw @ rw + rb * rb
         start = size
-        for _ in range(25):
+        for _ in range(inner):
             if size <= 1e-4 * start or size < 1e-12:
                 break
             hw, hb = hessian(pw, pb)
