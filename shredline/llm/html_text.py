@@ -3,7 +3,8 @@
 Pages of one host are merged: a node of the tree is a path of tags and classes, and what the host's pages have there is
 a distribution of looks (the sequence of child elements) and one of contents (the text of a branch). A node's importance is
 the larger of the two entropies, each divided by the logarithm of the number of occurrences: what looks and reads alike
-wherever it occurs has importance near 0. Branches below ``LEAST_IMPORTANCE`` are removed from each page, where the
+wherever it occurs has importance near 0. An occurrence counts once for each distinct text of the article (else main part, else
+page) that it is in, so copies of a page tell nothing, however many there are. Branches below ``LEAST_IMPORTANCE`` are removed from each page, where the
 node occurs ``LEAST_PAGES`` times or more; so are branches whose element, role or class names mark them as not part
 of an article, whatever the host's other pages hold. What remains of the page's articles (else of its main part, else of
 its body) is its text. Distributions are sums of counts, so a host with a third of all pages is only larger counts.
@@ -21,7 +22,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +67,8 @@ MARKED = frozenset(
 STATES = frozenset("no not has with without is hide hides".split())
 #: What an article is made of is never unimportant by itself; branches in it are.
 KEPT = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
+#: Elements whose inner elements are parts of their sentences, and have no importance of their own.
+SENTENCES = frozenset("p h1 h2 h3 h4 h5 h6".split())
 MARKED_OUTSIDE = frozenset({"header"})  # of a page, not of an article
 
 
@@ -154,27 +156,34 @@ def clean(text: str) -> str:
     return _SPACE.sub(" ", html.unescape(text)).strip()
 
 
-def features(root: Node) -> Iterator[tuple[int, int, int]]:
-    """(key, kind, value) of a page's nodes: 0, looks; 1, contents, of a node with all that is under it."""
+def features(root: Node) -> Iterator[tuple[int, int, int, int]]:
+    """(key, kind, value, unit) of a page's nodes: 0, looks; 1, contents, of a node with all that is under it. The unit is the
+    text of the outermost article that holds the node, else of the main part, else of the page."""
     from xxhash import xxh3_64_intdigest as digest
 
-    order, todo = [], [root]
+    order, todo = [], [(root, root, False)]
     while todo:
-        node = todo.pop()
-        order.append(node)
-        todo += [c for c in node.children if isinstance(c, Node)]
+        node, unit, inner = todo.pop()
+        order.append((node, unit, inner))
+        if node.tag == "article" and unit.tag != "article" or node.tag == "main" and unit is root:
+            unit = node
+        inner |= node.tag in SENTENCES
+        todo += [(c, unit, inner) for c in node.children if isinstance(c, Node)]
     content: dict[int, int] = {}  # by id of the node; 0: none
-    for node in reversed(order):  # children before parents
+    units: dict[int, int] = {}
+    for node, unit, inner in reversed(order):  # children before parents
         elements = [c for c in node.children if isinstance(c, Node)]
         text = clean(" ".join(c for c in node.children if isinstance(c, str)))
         under = [content.pop(id(c)) for c in elements]
         own = b"".join([text.encode(), *(x.to_bytes(8, "little") for x in under if x)])
         content[id(node)] = digest(own) if own else 0
-        if node.tag and node.tag not in KEPT and node.tag not in DROPPED:
+        if node.tag and not inner and node.tag not in KEPT and node.tag not in DROPPED and (elements or own):
+            if id(unit) not in units:
+                units[id(unit)] = digest("\n".join(blocks(unit)).encode())
             if elements:
-                yield node.key, 0, digest(" ".join(c.tag for c in elements).encode())
+                yield node.key, 0, digest(" ".join(c.tag for c in elements).encode()), units[id(unit)]
             if own:
-                yield node.key, 1, content[id(node)]
+                yield node.key, 1, content[id(node)], units[id(unit)]
 
 
 def blocks(root: Node) -> list[str]:
@@ -248,20 +257,19 @@ def host_of(url: str | None) -> str:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """key, importance for every node of every host's tree that occurs LEAST_PAGES times or more."""
+    """key, importance for every node of every host's tree that occurs LEAST_PAGES times or more, in distinct texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: Counter = Counter()
+            seen: set = set()
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                seen.update(set(features(parse(page or "", host_of(url)))))
-            keys = np.array([(k, v) for k, _, v in seen], np.uint64).reshape(-1, 2)
-            longs = lambda i: pa.array(np.ascontiguousarray(keys[:, i]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [longs(0), pa.array([k for _, k, _ in seen], pa.int32()), longs(1), pa.array(seen.values(), pa.int64())], names=["key", "kind", "value", "n"]
-            )
-
-    counts = pages.mapInArrow(run, "key long, kind int, value long, n long").groupBy("key", "kind", "value").agg(F.sum("n").alias("n"))
+                seen.update(features(parse(page or "", host_of(url))))
+            rows = np.array(list(seen), np.uint64).reshape(-1, 4)
+            longs = [pa.array(np.ascontiguousarray(rows[:, i]).view(np.int64)) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([longs[0], longs[1].cast(pa.int32()), *longs[2:]], names=["key", "kind", "value", "unit"])
+
+    once = pages.mapInArrow(run, "key long, kind int, value long, unit long").distinct()
+    counts = once.groupBy("key", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n")
     entropy = (F.log(total) - F.sum(F.col("n") * F.log("n")) / total) / F.log(total)
     return counts.groupBy("key", "kind").agg(total.alias("total"), entropy.alias("entropy")).where(F.col("total") >= LEAST_PAGES).groupBy("key").agg(F.max("entropy").alias("importance"))
@@ -295,7 +303,7 @@ def extract_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                rows += {(host_of(url), k) for k, _, _ in features(parse(page or "", host_of(url)))}
+                rows += {(host_of(url), k) for k, *_ in features(parse(page or "", host_of(url)))}
             keys = np.array([k for _, k in rows], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.string()), pa.array(keys)], names=["host", "key"])
 

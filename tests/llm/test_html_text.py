@@ -58,6 +58,31 @@ def test_site_style_tree(spark, monkeypatch, most):
     assert got[99, None] == "" and got[99, "http://a.example/0"] == ""
 
 
+def article(body, k=0):
+    return f"<html><body><nav>n</nav><div class='ad-box'>{k}</div><article><h1>T</h1><div class='body'>{body}</div></article></body></html>"
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<p>one <b>two</b></p>", "one two"),
+        ("<ul><li>a</li><li>b</li></ul><blockquote>c</blockquote><table><tr><td>d</td></tr></table>", "a\nb\nc\nd"),
+        ("<section><span>words</span></section>", "words"),
+    ],
+)
+@pytest.mark.parametrize("copies", [12, 40])
+def test_copies_tell_nothing(spark, body, text, copies):
+    """Copies of an article, also where their pages differ around it, take nothing of its text."""
+    pages = [(k, f"http://copies.example/{k}", article(body, k % 9)) for k in range(copies)] + [(1000 + k, f"http://copies.example/o{k}", article(f"<p>other {k}</p>")) for k in range(2)]
+    got = extract(spark, pages)
+    assert {got[k, f"http://copies.example/{k}"] for k in range(copies)} == {f"T\n{text}"}
+
+
+def test_words_of_sentences_stay(spark):
+    pages = [(k, f"http://a.example/{k}", article(f"<p><b>Note:</b> own {k}</p>")) for k in range(30)]
+    assert extract(spark, pages)[7, "http://a.example/7"] == "T\nNote: own 7"
+
+
 def test_documents(spark, sf):
     got = html_text.op3_html_extraction(spark, sf).collect()
     assert len(got) == spark.read.parquet(f"{sf}/pages.parquet").count()
