@@ -6,7 +6,9 @@ the larger of the two entropies, each divided by the logarithm of the number of
 wherever it occurs has importance near 0. An occurrence counts once for each distinct text of the article (else main part, else
 page) that it is in, so copies of a page tell nothing, however many there are. Branches below ``LEAST_IMPORTANCE`` are removed from each page, where the
 node occurs ``LEAST_PAGES`` times or more; so are branches whose element, role or class names mark them as not part
-of an article, whatever the host's other pages hold. What remains of the page's articles (else of its main part, else of
+of an article, whatever the host's other pages hold. A name marks by a whole class or id, by its last part, or by its first before
+parts that tell of a place or shape only (sidebar-left). Names, roles and forms never remove the page's article or main part nor
+what holds it, and on a page without either not what holds most of its text. What remains of the page's articles (else of its main part, else of
 its body) is its text. Distributions are sums of counts, so a host with a third of all pages is only larger counts.
 
 Text: character references are decoded, white space in a block becomes one space, blocks are trimmed, empty ones go, and
@@ -63,7 +65,12 @@ MARKED = frozenset(
     " overlay newsletter subscribe signup login sidebar widget menu nav navbar navigation breadcrumb breadcrumbs footer comments comment disqus replies reply"
     " respond toolbar pagination pager masthead topbar copyright social share sharing related recommended tracking".split()
 )
-#: First parts of names that tell of a page's state and not of what an element is: no-sidebar, has-banner.
+#: Parts after a marked first one that leave it what it is.
+PLACES = frozenset(
+    "area bar block body bottom box col column container content inner item items left links list outer panel primary right secondary section slot"
+    " text top unit wrap wrapper".split()
+)
+#: Parts of names that tell of a page's state and not of what an element is: no-sidebar, has-banner.
 STATES = frozenset("no not has with without is hide hides".split())
 #: What an article is made of is never unimportant by itself; branches in it are.
 KEPT = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
@@ -73,10 +80,20 @@ MARKED_OUTSIDE = frozenset({"header"})  # of a page, not of an article
 
 
 class Node:
-    __slots__ = ("tag", "children", "drop", "key", "kept")
+    """``drop`` is what the node is by its element or as hidden; ``marked``, by its names, role or being a form."""
+
+    __slots__ = ("tag", "children", "drop", "marked", "key", "kept")
+
+    def __init__(self, tag: str, key: int, drop: bool, marked: bool = False):
+        self.tag, self.key, self.drop, self.marked, self.children, self.kept = tag, key, drop, marked, [], True
+
 
-    def __init__(self, tag: str, key: int, drop: bool):
-        self.tag, self.key, self.drop, self.children, self.kept = tag, key, drop, [], True
+def mark(name: str, tag: str, marks: frozenset[str]) -> bool:
+    """Whether a class or id marks an element. An article is not marked by the last part of a longer name (category-social)."""
+    parts = _NAMES.findall(name)
+    if not parts or marks.isdisjoint(parts) or not STATES.isdisjoint(parts[:-1]):
+        return False
+    return parts[0] in marks and PLACES.issuperset(parts[1:]) or parts[-1] in marks and (len(parts) == 1 or tag not in ("article", "main"))
 
 
 def parse(page: str, host: str) -> Node:
@@ -124,22 +141,23 @@ def parse(page: str, host: str) -> Node:
                     break
                 if stack[i].tag in beyond:
                     break
-        drop, look = name in DROPPED or name == "header" and not articles, name
+        drop, look = name in DROPPED and name != "form" or name == "header" and not articles, name
+        marked = name == "form"
         if attributes and "=" in attributes or "hidden" in attributes:
             for k, *v in _ATTRIBUTE.findall(attributes):
                 k, value = k.lower(), (v[0] or v[1] or v[2]).lower()
                 if k == "class" or k == "id":
-                    names = {n for whole in value.split() if (found := _NAMES.findall(whole)) and found[0] not in STATES for n in found}
-                    drop |= bool(names & MARKED) or not articles and bool(names & MARKED_OUTSIDE)
+                    marked |= any(mark(whole, name, MARKED if articles else MARKED | MARKED_OUTSIDE) for whole in value.split())
                     if k == "class":
                         look = f"{name}.{value}"
                 elif k == "role":
-                    drop |= value in ROLES
+                    marked |= value in ROLES
                 elif k == "style":
                     drop |= "display:none" in value.replace(" ", "")
                 else:
                     drop |= value != "false"
-        node = Node(name, digest(look.encode(), seed=stack[-1].key), drop and name not in ("html", "body"))
+        whole = name in ("html", "body")
+        node = Node(name, digest(look.encode(), seed=stack[-1].key), drop and not whole, marked and not whole)
         stack[-1].children.append(node)
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
@@ -149,9 +167,58 @@ def parse(page: str, host: str) -> Node:
             articles += name == "article"
     if at < n:
         stack[-1].children.append(page[at:])
+    settle(root)
     return root
 
 
+def settle(root: Node) -> None:
+    """Drops the marked nodes, except the page's article or main part, and what holds it. That is an unmarked one; else the ones under
+    fewest marks, articles before main parts; and always an article with more than half of the page's text. On a page
+    without either it is every node with more than half of the text."""
+    order, todo = [], [(root, None, 0)]  # node, place of its parent, marks from the root
+    while todo:
+        node, above, marks = todo.pop()
+        if node.drop:
+            continue
+        marks += node.marked
+        order.append((node, above, marks))
+        todo += [(c, len(order) - 1, marks) for c in node.children if isinstance(c, Node)]
+    if not any(node.marked for node, *_ in order):
+        return
+    size, own = [0] * len(order), [0] * len(order)  # characters under a node; those without marked nodes in it
+    for i in range(len(order) - 1, -1, -1):  # children before parents
+        node, above, _ = order[i]
+        here = sum(len(c) - c.count(" ") - c.count("\n") for c in node.children if isinstance(c, str))
+        size[i] += here
+        own[i] += here
+        if above is not None:
+            size[above] += size[i]
+            own[above] += 0 if node.marked else own[i]
+    parts = {tag: [i for i, (node, *_) in enumerate(order) if node.tag == tag and own[i]] for tag in ("article", "main")}
+    every = parts["article"] + parts["main"]
+    held = [i for i in parts["article"] if 2 * size[i] > size[0]]
+    clear = {i for i in every if not order[i][2]}
+    if clear:  # what is marked in a clear article is a part of it
+        inside = set()
+        for i, (node, above, _) in enumerate(order):
+            if above in inside or above in clear and order[above][0].tag == "article":
+                inside.add(i)
+        held = [i for i in held if i not in inside]
+    elif every:
+        of = parts["article"] or parts["main"]
+        least = min(order[i][2] for i in of)
+        held += [i for i in of if order[i][2] == least]
+    else:
+        held = [i for i in range(len(order)) if 2 * size[i] > size[0]]
+    for i in held:
+        at = i
+        while at is not None and not (at != i and order[at][2] == 0):
+            order[at][0].marked = False
+            at = order[at][1]
+    for node, *_ in order:
+        node.drop |= node.marked
+
+
 def clean(text: str) -> str:
     return _SPACE.sub(" ", html.unescape(text)).strip()
 

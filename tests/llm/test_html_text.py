@@ -39,6 +39,28 @@ def test_pages(page, text):
     assert html_text.main_text(page, "h", set()) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article class='post category-social'><p>a</p></article>", "a"),
+        ("<article class='tag-cookies'><p>a</p><div class='comments-area'>no</div></article>", "a"),
+        ("<div id='content-sidebar-wrap'><article><p>a</p></article><div class='sidebar'>no</div></div>", "a"),
+        ("<div class='layout-sidebar-right'><main><p>a</p></main></div>", "a"),
+        ("<div class='layout-sidebar-right'><div class='text'><p>most of the text</p></div><div class='sidebar-right'>no</div></div>", "most of the text"),
+        ("<form><p>most of the text</p><form class='search'>no</form></form>", "most of the text"),
+        ("<form><div><article><p>a</p><form>no</form></article></div></form>", "a"),
+        ("<form><article>the article</article><div class='related'><article>no</article></div></form>", "the article"),
+        ("<article><p>a</p></article><div class='related'><article>a longer one</article><article>and another</article></div>", "a"),
+        ("<article><p>a</p><div class='comments'><article class='comment'>longer than the article is</article></div></article>", "a"),
+        ("<article><section class='social-history'><p>a</p></section><div class='cookie-box'>no</div></article>", "a"),
+        ("<div class='with-sidebar layout-no-sidebar'><p>a</p></div><p>more text than in there</p>", "a\nmore text than in there"),
+        ("<article class='social'><p>the article with most of the text</p></article><article>x</article>", "the article with most of the text\nx"),
+    ],
+)
+def test_names_leave_the_article(page, text):
+    assert html_text.main_text(page, "h", set()) == text
+
+
 def site(k):
     return f"<html><body><article><div class='box'><span>Shared words of the site</span></div><p>Own text {k}</p><p>Shared line</p></article></body></html>"
 
