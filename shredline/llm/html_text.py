@@ -42,7 +42,9 @@ _TOKEN = re.compile(
     r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One attribute of a tag: a whole name, and its value.
+_ATTRIBUTE = re.compile(r"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>][^\s>]*+)))?+")
+_READ = frozenset("class id role style hidden aria-hidden".split())
 _SPACE = re.compile(r"[ \t\n\r\f\v   -     　]+")
 _NAMES = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -143,9 +145,11 @@ def parse(page: str, host: str) -> Node:
                     break
         drop, look = name in DROPPED and name != "form" or name == "header" and not articles, name
         marked = name == "form"
-        if attributes and "=" in attributes or "hidden" in attributes:
+        if attributes and ("=" in attributes or "hidden" in attributes.lower()):
             for k, *v in _ATTRIBUTE.findall(attributes):
                 k, value = k.lower(), (v[0] or v[1] or v[2]).lower()
+                if k not in _READ:
+                    continue
                 if k == "class" or k == "id":
                     marked |= any(mark(whole, name, MARKED if articles else MARKED | MARKED_OUTSIDE) for whole in value.split())
                     if k == "class":

@@ -61,6 +61,20 @@ def test_names_leave_the_article(page, text):
     assert html_text.main_text(page, "h", set()) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><a href=\"/hidden-gems\">link</a> <a href=/hidden>too</a></article>", "link too"),
+        ("<article data-title=\"Hidden treasures\" data-hidden data-id='sidebar'><p title='class=ad'>a</p></article>", "a"),
+        ("<article><p data-style='display:none' data-role=\"navigation\" title='x hidden'>a</p></article>", "a"),
+        ("<article><p\nID=x HIDDEN>no</p><p class = 'ad'>no</p><p title='a=b'hidden>no</p><p x=1 aria-hidden=true>no</p><p/hidden>no</p>a</article>", "a"),
+        ("<article><p hidden>no</p><p ROLE=\"navigation\" >no</p><p data-x = \"hidden\" >a</p></article>", "a"),
+    ],
+)
+def test_whole_attribute_names(page, text):
+    assert html_text.main_text(page, "h", set()) == text
+
+
 def site(k):
     return f"<html><body><article><div class='box'><span>Shared words of the site</span></div><p>Own text {k}</p><p>Shared line</p></article></body></html>"
 
