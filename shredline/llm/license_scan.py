@@ -1,6 +1,7 @@
 """Licence scan of paragraphs by a trained classifier that templates confirm.
 
-A paragraph is a line. Its words are lower-cased and stripped of edge punctuation, and its features are the word
+A paragraph is a line, or a notice that is wrapped over lines of a run without a blank line: the stretch of at most
+``STRETCH`` times a notice's words that has most of its 2-grams, in lines that are no notices themselves. Its words are lower-cased and stripped of edge punctuation, and its features are the word
 1-, 2- and 3-grams that the templates have. Multinomial logistic regression with an L2 penalty knows the licence families
 and an unknown class. It is fitted on rows made from the templates by a fixed rule: a family's rows keep at least
 ``KEPT`` of a notice's words, among other words; unknown rows keep at most ``LOST`` of them, or mix words of several
@@ -11,7 +12,7 @@ one of the family's notices, which is reported.
 One narrow pass over the documents; the model has the size of the templates.
 
 Defined cases: null and empty texts and blank lines give no rows; a paragraph gives one row at most, for its likeliest
-family; repeated paragraphs and rows are each reported; lines of any length are read whole; other columns are ignored.
+family, and a wrapped one the number of its first line; a line without words is blank; of stretches that overlap the more similar counts; repeated paragraphs and rows are each reported; lines of any length are read whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -61,6 +62,7 @@ NOTICES = {
 FAMILIES = ["unknown", *NOTICES]
 KEPT, LOST, ROWS = 0.8, 0.3, 60
 THRESHOLD, SIMILARITY, PENALTY = 0.5, 0.7, 1e-3
+STRETCH = 2
 FOUND = "doc_id long, paragraph int, family string, probability double, similarity double, notice string"
 
 
@@ -95,6 +97,10 @@ class Model:
         self.notices = [(FAMILIES.index(f), plain.text(t.encode()), t) for f, ts in NOTICES.items() for t in ts]
         self.grams = np.unique(np.concatenate([word_grams(w) for _, w, _ in self.notices]))
         self.pairs = [np.unique(shingle_hashes(w, 2)) for _, w, _ in self.notices]
+        self.every_pair = np.unique(np.concatenate(self.pairs))
+        self.has = np.stack([np.isin(self.every_pair, p) for p in self.pairs])
+        self.pair_flags = np.zeros(1 << 20, bool)
+        self.pair_flags[self.every_pair >> np.uint64(44)] = True
         self.flags = np.zeros(1 << 20, bool)
         self.flags[self.grams >> np.uint64(44)] = True
         short = [(f, w) for f, w, _ in self.notices]
@@ -162,6 +168,63 @@ class Model:
                 out.append((int(found[i]), FAMILIES[best[i]], float(p[i, best[i]]), similarity, notice))
         return out
 
+    def wrapped(self, lines: list[np.ndarray], docs: np.ndarray, taken: list[int]) -> list[tuple[int, str, float, float, str]]:
+        """As for lines, of the notices that are wrapped over lines of a document: the first line of each."""
+        sizes = np.array([len(x) for x in lines])
+        free = sizes > 0
+        free[taken] = False
+        runs = np.cumsum(np.concatenate([[True], (docs[1:] != docs[:-1]) | ~free[1:] | ~free[:-1]])) if len(lines) else np.empty(0, np.int64)
+        free &= np.bincount(runs, minlength=1)[runs] > 1
+        used = np.flatnonzero(free)
+        flat = np.concatenate([*(lines[i] for i in used), np.empty(0, np.uint64)])
+        if len(flat) < 2:
+            return []
+        line = np.repeat(used, sizes[used])
+        run = runs[line]
+        g = shingle_hashes(flat, 2)
+        at = np.flatnonzero(self.pair_flags[g >> np.uint64(44)] & (run[:-1] == run[1:]))
+        pair = np.searchsorted(self.every_pair, g[at]).clip(max=len(self.every_pair) - 1)
+        same = self.every_pair[pair] == g[at]
+        at, pair = at[same], pair[same]
+        distinct = np.unique(run[at] * len(self.every_pair) + pair)
+        which, back = np.unique(distinct // len(self.every_pair), return_inverse=True)
+        spans = []
+        for k, (_, words, _) in enumerate(self.notices):
+            n = np.bincount(back, self.has[k][distinct % len(self.every_pair)], len(which))
+            near = which[n >= SIMILARITY * len(self.pairs[k])]
+            mine = np.flatnonzero(self.has[k][pair] & np.isin(run[at], near))
+            spans += self.stretches(at[mine], pair[mine], run[at[mine]], STRETCH * len(words), SIMILARITY * len(self.pairs[k]))
+        spans = [(a, b) for a, b in spans if line[a] != line[b]]
+        rows = [(*row, *spans[row[0]]) for row in (self([flat[a : b + 1] for a, b in spans]) if spans else [])]
+        busy, out = np.zeros(len(flat), bool), []
+        for _, family, p, similarity, notice, a, b in sorted(rows, key=lambda r: (-r[3], r[5] - r[6], -r[2], r[5])):
+            if not busy[a : b + 1].any():
+                busy[a : b + 1] = True
+                out.append((int(line[a]), family, p, similarity, notice))
+        return out
+
+    @staticmethod
+    def stretches(at: np.ndarray, pair: np.ndarray, run: np.ndarray, most: int, least: float) -> list[tuple[int, int]]:
+        """First and last word of stretches of at most ``most`` words with ``least`` distinct 2-grams, the fullest first, apart."""
+        at, pair, run = at.tolist(), pair.tolist(), run.tolist()
+        inside: dict[int, int] = {}
+        left, found = 0, []
+        for i in range(len(at)):
+            inside[pair[i]] = inside.get(pair[i], 0) + 1
+            while run[left] != run[i] or at[i] + 2 - at[left] > most or inside[pair[left]] > 1:
+                inside[pair[left]] -= 1
+                if not inside[pair[left]]:
+                    del inside[pair[left]]
+                left += 1
+            if len(inside) >= least:
+                found.append((-len(inside), at[i] + 1 - at[left], at[left], at[i] + 1))
+        busy, out = set(), []
+        for *_, a, b in sorted(found):
+            if a not in busy and b not in busy and busy.isdisjoint(range(a, b + 1)):
+                busy.update(range(a, b + 1))
+                out.append((a, b))
+        return out
+
 
 def license_paragraphs(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per paragraph that is a licence notice: doc_id, paragraph (from 0), family, probability, similarity, notice."""
@@ -172,12 +235,15 @@ def license_paragraphs(spark: SparkSession, docs: DataFrame) -> DataFrame:
         model, plain = shared.value, PlainWords()
         for batch in slices(batches):
             ids = batch.column("doc_id").to_pylist()
-            places, lines = [], []
-            for i, t in zip(ids, texts(batch)):
+            places, lines, docs = [], [], []
+            for row, (i, t) in enumerate(zip(ids, texts(batch))):
                 for k, x in enumerate(t.split(b"\n")):
                     places.append((i, k))
                     lines.append(plain.text(x))
-            rows = [(*places[at], *rest) for at, *rest in model(lines)]
+                    docs.append(row)
+            found = model(lines)
+            found += model.wrapped(lines, np.array(docs, np.int64), [at for at, *_ in found])
+            rows = [(*places[at], *rest) for at, *rest in found]
             if rows:
                 kinds = (pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.string())
                 names = ["doc_id", "paragraph", "family", "probability", "similarity", "notice"]

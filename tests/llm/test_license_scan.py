@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 
@@ -35,6 +36,28 @@ def test_long_line_is_read_whole(spark):
     assert found(spark, [(1, "some other words " * 5000 + "Released under the MIT License.")]) == [(1, 0, "mit")]
 
 
+@pytest.mark.parametrize("width", [40, 72, 79, 100])
+def test_wrapped_notices(spark, width):
+    """Every notice, wrapped, in a comment and in a run with other text, gives one row, of its family and first line."""
+    docs, wanted = [], []
+    for family, notices in license_scan.NOTICES.items():
+        for text in notices:
+            lines = textwrap.wrap(text, width)
+            if len(lines) > 1 or len(text.split()) > 12:
+                for head, mark in (([], ""), (["Some words of the work."], ""), (["/*", "* Copyright 2020", "*"], " * "), (["\r", "A file with the text of it"], "# ")):
+                    body = [*head, *(mark + x for x in lines), "More of the same work."]
+                    docs.append((len(docs), "\n".join(body)))
+                    wanted.append((len(docs) - 1, len(head), family))
+    assert found(spark, docs) == sorted(wanted, key=str)
+
+
+def test_wrapped_notices_side_by_side(spark):
+    mit, bsd = ("\n".join(textwrap.wrap(license_scan.NOTICES[f][-1], 72)) for f in ("mit", "bsd"))
+    n = mit.count("\n") + 1
+    assert found(spark, [(1, f"{mit}\n{bsd}\n{mit}")]) == [(1, 0, "mit"), (1, n, "bsd"), (1, n + bsd.count("\n") + 1, "mit")]
+    assert found(spark, [(1, "All rights\n\nreserved."), (2, "Released under"), (3, "the MIT License."), (4, "of the\nto any person\nin the work " * 3000)]) == []
+
+
 def test_documents(spark, sf):
     wanted = [
         (r.doc_id, k, LINES[line])
