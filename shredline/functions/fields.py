@@ -1,10 +1,14 @@
 """Field specifications as data: the narrow and wide reporting tables and a field catalogue.
 
-The whole catalogue of a deployment is a parameter (``read_catalogue``); the built-in one names the fields of the wide
-table and the indexed entries of field c20."""
+The catalogue of a deployment is a parameter (``read_catalogue``); the built-in one, ``catalogue.csv`` beside this module, names all
+fields c0 to c255, field c20 by index."""
 
 from __future__ import annotations
 
+import csv
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +39,7 @@ WIDE_ARRAYS = [
     ("c49", "cap_date_dr_int_values"), ("c50", "cap_date_d2_int_values"), ("c99", "alt_acct_type_values"),
     ("c100", "alt_acct_id_values"), ("c249", "inputter_values"), ("c250", "date_time_values"),
 ]
-# Names of the fields that the wide table reads as arrays, and of c20's indices from 1.
-ARRAY_NAMES = [
-    ("c46", "cap_date_charge"), ("c47", "cap_date_cr_int"), ("c48", "cap_date_c2_int"), ("c49", "cap_date_dr_int"), ("c50", "cap_date_d2_int"),
-    ("c99", "alt_acct_type"), ("c100", "alt_acct_id"), ("c249", "inputter"), ("c250", "date_time"),
-]
+# Names of c20's indices from 1.
 C20_NAMES = [
     "activyty", "version_name", "debit_or_credit", "arabic_title", "hold_date", "expiry_date", "hold_amount", "hold_details", "hold_user",
     "hold_reason", "old_account", "collateral_code_for_reports", "start_nab", "end_nab", "ft_ref_nab", "stmt_date", "ebc_auth_no",
@@ -51,9 +51,13 @@ EFFECTIVE_DATE = "2026-08-02"
 CATALOGUE_SCHEMA = "field_index string, multi_value_index int, field_name string, effective_date date"
 
 
+BUILT_IN = Path(__file__).with_name("catalogue.csv")
+
+
+@cache
 def catalogue_rows() -> list[tuple[str, int | None, str]]:
-    named = [(code, None, name) for code, name in WIDE + ARRAY_NAMES]
-    return named + [("c20", i, name) for i, name in enumerate(C20_NAMES, 1)]
+    with BUILT_IN.open(newline="", encoding="utf-8") as f:
+        return [(r["field_index"], int(r["m_index"]) if r["m_index"] else None, r["resolved_name_en"]) for r in csv.DictReader(f)]
 
 
 def inline_catalogue(spark: SparkSession) -> DataFrame:
