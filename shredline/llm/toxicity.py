@@ -30,6 +30,7 @@ BITS = 20
 SAMPLE_ROWS = 8192
 CELLS = 16384
 PENALTY = 1.0
+TOLERANCE = 1e-6
 CALIBRATION_FOLDS = 4
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
@@ -87,9 +88,10 @@ class SparseRows:
         return np.bincount(self.cols, self.values * v[self.row], self.shape[1])
 
 
-def fit_logistic(x: SparseRows, y: np.ndarray, penalty: float, steps: int = 6, inner: int = 10) -> tuple[np.ndarray, float]:
-    """Newton steps by conjugate gradients; the intercept is not penalised."""
+def fit_logistic(x: SparseRows, y: np.ndarray, penalty: float, steps: int = 100, inner: int = 100) -> tuple[np.ndarray, float]:
+    """Newton steps by conjugate gradients, until the gradient is TOLERANCE of the first; the intercept is not penalised."""
     w, b = np.zeros(x.shape[1]), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+    first = None
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x.dot(w) + b, -40, 40)))
         s = np.maximum(p * (1 - p), 1e-6)
@@ -104,6 +106,9 @@ def fit_logistic(x: SparseRows, y: np.ndarray, penalty: float, steps: int = 6, i
         pw, pb = rw.copy(), rb
         size = rw @ rw + rb * rb
         start = size
+        first = size if first is None else first
+        if size <= TOLERANCE**2 * first:
+            break
         for _ in range(inner):
             if size <= 1e-4 * start or size < 1e-12:
                 break
@@ -113,8 +118,6 @@ def fit_logistic(x: SparseRows, y: np.ndarray, penalty: float, steps: int = 6, i
             was, size = size, rw @ rw + rb * rb
             pw, pb = rw + size / was * pw, rb + size / was * pb
         w, b = w + dw, b + db
-        if start < 1e-6:
-            break
     return w, b
 
 
