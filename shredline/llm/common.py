@@ -127,6 +127,26 @@ def opened(blob: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(body.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
+def squeeze(*columns: np.ndarray) -> bytes:
+    """Columns of one length as compressed bytes, byte planes apart."""
+    import zstandard
+
+    body = np.concatenate([np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.ravel() for c in columns])
+    return zstandard.ZstdCompressor(level=1).compress(body.tobytes())
+
+
+def expand(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    import zstandard
+
+    body = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    n, at, out = len(body) // sum(sizes), 0, []
+    for k, s in zip(kinds, sizes):
+        out.append(np.ascontiguousarray(body[at : at + n * s].reshape(s, n).T).view(k).ravel())
+        at += n * s
+    return out
+
+
 def vector_sum(partials: DataFrame, spark: SparkSession, dtype: str, length: int, combine=np.add) -> np.ndarray:
     """Sum of rows (block int, blob binary) into one vector of ``length``: blocks are summed on the executors,
     and the driver receives one vector of that fixed size."""

@@ -1,41 +1,57 @@
 """Main text of pages by a site style tree.
 
-Pages of one host are merged: a node of the tree is a path of tags and classes, and what the host's pages have there is
-a distribution of looks (the sequence of child elements) and one of contents (the text of a branch). A node's importance is
-the larger of the two entropies, each divided by the logarithm of the number of occurrences: what looks and reads alike
-wherever it occurs has importance near 0. An occurrence counts once for each distinct text of the article (else main part, else
-page) that it is in, so copies of a page tell nothing, however many there are. Branches below ``LEAST_IMPORTANCE`` are removed from each page, where the
-node occurs ``LEAST_PAGES`` times or more; so are branches whose element, role or class names mark them as not part
-of an article, whatever the host's other pages hold. A name marks by a whole class or id, by its last part, or by its first before
-parts that tell of a place or shape only (sidebar-left). Names, roles and forms never remove the page's article or main part nor
-what holds it, and on a page without either not what holds most of its text. What remains of the page's articles (else of its main part, else of
-its body) is its text. Distributions are sums of counts, so a host with a third of all pages is only larger counts.
+Pages of one host are merged: a node of the tree is a path of tags and classes. What the host's pages have there is a
+distribution of looks (the sequence of child elements) and of words (of the node's own text; a paragraph's or heading's with all that is
+in it). With m pages that have the node:
+
+* *Presentation* is the entropy of its looks to the base m: near 0 where all pages look alike there.
+* *Content* is one minus the mean entropy of its words to the base m, where the entropy of a word on n pages is ``log n``, and the mean is
+  over the words of all pages, so that a page number does not make a repeated line important.
+* A page's branch takes its importance from both: a leaf has its content; an inner node has ``(1 - d) * presentation + d * mean importance
+  of its parts`` with ``d = DECAY ** number of looks``, its own words being a part.
+
+A branch in which every node is less important than ``LEAST_IMPORTANCE`` is removed from the page; in an article or main part, paragraphs and
+headings go with a branch that holds them only, since articles have headings in common. Nodes of fewer than ``LEAST_PAGES`` pages are
+important. Pages whose article (else main part, else page) has the same text are one page in these counts, so copies tell nothing,
+however many there are.
+
+Two things differ on every page and are yet not its article, reader comments and rotating adverts, and a host with few pages has no
+entropies; for these, elements that are no article text by their meaning (navigation, forms, scripts) and names count too. A class or id
+marks an element if the whole name says so: marks, after an owner and before places at most (post-comments, sidebar-left). In an article or main
+part ids do not mark, nor do names of paragraphs, headings and inline elements; a header there is a part of it. Names, roles and forms
+never remove the page's article or main part nor what holds it, and on a page without either not what holds most of its text. What
+remains of the page's articles (else of its main part, else of its body) is its text.
+
+Counts are sums over pieces that are dealt by node and word together, so a host with a third of all pages is only larger counts.
 
 Text: character references are decoded, white space in a block becomes one space, blocks are trimmed, empty ones go, and
 the others are joined by one line feed in page order. ``br`` and table cells are white space in a block.
 
 Defined cases: null and empty pages, and pages without text, have empty text; text without any markup is one block; a
-page whose every branch is unimportant (a host of copies of one page) keeps those that names do not exclude; unclosed,
-stray and crossed tags are repaired as browsers do for ``p``, ``li``, table parts and unclosed inline elements; a tag cut off
-at the end of a page is dropped; repeated rows are each returned; other columns are ignored; a null url is the host ``''``.
+page whose every branch is unimportant keeps those that names do not exclude; an importance that equals the threshold is important; very long
+pages are read whole; unclosed, stray and crossed tags are repaired as browsers do for ``p``, ``li``, table parts and unclosed inline
+elements; a tag cut off at the end of a page is dropped; repeated rows are each returned; other columns are ignored; a null url is
+the host ``''``; no pages give no rows.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, slices, table
+from .common import Workspace, expand, mix64, slices, squeeze, table
 
-LEAST_IMPORTANCE, LEAST_PAGES = 0.1, 10
-#: Unimportant nodes that are broadcast; more of them meet the pages in a join.
+LEAST_IMPORTANCE, LEAST_PAGES, DECAY = 0.1, 10, 0.9
+#: Nodes that are broadcast; more of them meet the pages in a join.
 BROADCAST_NODES = 500_000
+#: Pages whose words are sorted together, and bytes of pages whose words a counting task has on average.
+BATCH_PAGES, SHARD_BYTES = 2048, 32 << 20
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>?|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
@@ -60,7 +76,7 @@ CLOSES = {
     "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody"}, {"table"}), "body": ({"head"}, {"html"}),
 }
 _BARRIER = frozenset("article aside blockquote body div td th li section main table form nav header footer".split())
-DROPPED = frozenset("head nav footer aside form script style noscript template iframe svg canvas object button select textarea dialog menu math audio video".split())
+DROPPED = frozenset("head nav footer aside form script style noscript template iframe svg canvas object button select textarea dialog menu audio video".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 MARKED = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal"
@@ -72,13 +88,13 @@ PLACES = frozenset(
     "area bar block body bottom box col column container content inner item items left links list outer panel primary right secondary section slot"
     " text top unit wrap wrapper".split()
 )
+#: Parts before a mark that tell whose it is: post-comments, site-footer.
+OWNERS = frozenset("article blog entry main page post reader site user".split())
 #: Parts of names that tell of a page's state and not of what an element is: no-sidebar, has-banner.
 STATES = frozenset("no not has with without is hide hides".split())
-#: What an article is made of is never unimportant by itself; branches in it are.
-KEPT = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
-#: Elements whose inner elements are parts of their sentences, and have no importance of their own.
+#: Elements whose inner elements are parts of their sentences, and no nodes of their own.
 SENTENCES = frozenset("p h1 h2 h3 h4 h5 h6".split())
-MARKED_OUTSIDE = frozenset({"header"})  # of a page, not of an article
+PARTS = frozenset({"article", "main"})
 
 
 class Node:
@@ -90,12 +106,16 @@ class Node:
         self.tag, self.key, self.drop, self.marked, self.children, self.kept = tag, key, drop, marked, [], True
 
 
-def mark(name: str, tag: str, marks: frozenset[str]) -> bool:
-    """Whether a class or id marks an element. An article is not marked by the last part of a longer name (category-social)."""
+def mark(name: str) -> bool:
+    """Whether a class or id marks an element: all of it, but for an owner before and places after the marks."""
     parts = _NAMES.findall(name)
-    if not parts or marks.isdisjoint(parts) or not STATES.isdisjoint(parts[:-1]):
+    if not parts or not STATES.isdisjoint(parts):
         return False
-    return parts[0] in marks and PLACES.issuperset(parts[1:]) or parts[-1] in marks and (len(parts) == 1 or tag not in ("article", "main"))
+    while len(parts) > 1 and parts[-1] in PLACES:
+        parts.pop()
+    if len(parts) > 1 and parts[0] in OWNERS:
+        parts = parts[1:]
+    return MARKED.issuperset(parts)
 
 
 def parse(page: str, host: str) -> Node:
@@ -109,7 +129,7 @@ def parse(page: str, host: str) -> Node:
     def close(to: int) -> None:
         nonlocal articles
         while len(stack) > to:
-            articles -= stack.pop().tag == "article"
+            articles -= stack.pop().tag in PARTS
 
     for m in iter(lambda: _TOKEN.search(page, at), None):
         if m.start() > at:
@@ -151,7 +171,8 @@ def parse(page: str, host: str) -> Node:
                 if k not in _READ:
                     continue
                 if k == "class" or k == "id":
-                    marked |= any(mark(whole, name, MARKED if articles else MARKED | MARKED_OUTSIDE) for whole in value.split())
+                    if not articles or k == "class" and name in BLOCK and name not in SENTENCES:
+                        marked |= any(map(mark, value.split()))
                     if k == "class":
                         look = f"{name}.{value}"
                 elif k == "role":
@@ -168,7 +189,7 @@ def parse(page: str, host: str) -> Node:
             at = end.end() if end else n
         elif name not in VOID:
             stack.append(node)
-            articles += name == "article"
+            articles += name in PARTS
     if at < n:
         stack[-1].children.append(page[at:])
     settle(root)
@@ -227,34 +248,68 @@ def clean(text: str) -> str:
     return _SPACE.sub(" ", html.unescape(text)).strip()
 
 
-def features(root: Node) -> Iterator[tuple[int, int, int, int]]:
-    """(key, kind, value, unit) of a page's nodes: 0, looks; 1, contents, of a node with all that is under it. The unit is the
-    text of the outermost article that holds the node, else of the main part, else of the page."""
-    from xxhash import xxh3_64_intdigest as digest
+class Words:
+    """Odd 64-bit hashes of words, remembered up to a number of words."""
+
+    def __init__(self, most: int = 300_000):
+        from xxhash import xxh3_64_intdigest
+
+        self.digest, self.most, self.known = xxh3_64_intdigest, most, {}
+
+    def __call__(self, text: str) -> list[int]:
+        words, known = set(text.split()), self.known
+        if len(known) > self.most:
+            known.clear()
+        for w in words.difference(known):
+            known[w] = self.digest(w.encode("utf-8", "surrogatepass")) | 1
+        return [known[w] for w in words]
+
+
+#: The value that every page has at a node.
+ANY = 0
+
 
-    order, todo = [], [(root, root, False)]
+def own_text(node: Node, whole: bool) -> str:
+    """The text of a node without its elements, or with them."""
+    if not whole:
+        return clean(" ".join(c for c in node.children if isinstance(c, str)))
+    return "\n".join(blocks(node))
+
+
+def tree_nodes(root: Node) -> Iterator[tuple[Node, Node, bool, list[Node]]]:
+    """The nodes of a page that are in the style tree, parents first: with the outermost article, else main part, else the page, that
+    holds it, whether its text is that of all that is in it, and its child elements in the tree."""
+    todo = [(root, root)]
     while todo:
-        node, unit, inner = todo.pop()
-        order.append((node, unit, inner))
-        if node.tag == "article" and unit.tag != "article" or node.tag == "main" and unit is root:
+        node, unit = todo.pop()
+        if node.tag in PARTS and unit.tag != "article" and (node.tag == "article" or unit is root):
             unit = node
-        inner |= node.tag in SENTENCES
-        todo += [(c, unit, inner) for c in node.children if isinstance(c, Node)]
-    content: dict[int, int] = {}  # by id of the node; 0: none
+        whole = node.tag in SENTENCES
+        children = [] if whole else [c for c in node.children if isinstance(c, Node) and c.tag not in RAW and c.tag not in VOID]
+        yield node, unit, whole, children
+        todo += [(c, unit) for c in children]
+
+
+def features(root: Node, words: Words) -> tuple[list[int], list[int], list[int]]:
+    """Node keys, values and units of a page, once each: ANY, the even hash of a look or the odd hash of a word. The unit is
+    the text of the outermost article that holds the node, else of the main part, else of the page."""
+    from xxhash import xxh3_64_intdigest as digest
+
     units: dict[int, int] = {}
-    for node, unit, inner in reversed(order):  # children before parents
-        elements = [c for c in node.children if isinstance(c, Node)]
-        text = clean(" ".join(c for c in node.children if isinstance(c, str)))
-        under = [content.pop(id(c)) for c in elements]
-        own = b"".join([text.encode(), *(x.to_bytes(8, "little") for x in under if x)])
-        content[id(node)] = digest(own) if own else 0
-        if node.tag and not inner and node.tag not in KEPT and node.tag not in DROPPED and (elements or own):
-            if id(unit) not in units:
-                units[id(unit)] = digest("\n".join(blocks(unit)).encode())
-            if elements:
-                yield node.key, 0, digest(" ".join(c.tag for c in elements).encode()), units[id(unit)]
-            if own:
-                yield node.key, 1, content[id(node)], units[id(unit)]
+    seen: dict[tuple[int, int], set[int]] = {}
+    for node, unit, whole, children in tree_nodes(root):
+        if id(unit) not in units:
+            units[id(unit)] = digest("\n".join(blocks(unit)).encode("utf-8", "surrogatepass"))
+        values = seen.setdefault((node.key, units[id(unit)]), {ANY})
+        if children:
+            values.add(digest(" ".join(c.tag for c in children).encode()) & ~1 or 2)
+        values.update(words(own_text(node, whole)))
+    keys, every, owners = [], [], []
+    for (key, unit), values in seen.items():
+        keys += [key] * len(values)
+        every += values
+        owners += [unit] * len(values)
+    return keys, every, owners
 
 
 def blocks(root: Node) -> list[str]:
@@ -305,18 +360,42 @@ def roots(root: Node) -> list[Node]:
     return [root]
 
 
-def main_text(page: str | None, host: str, unimportant: set[int]) -> str:
+def prune(root: Node, known: dict[int, tuple[float, float, float]]) -> None:
+    """Takes the branches that are unimportant throughout out of the page. ``known`` has by key the presentation, the content and the
+    weight of the parts; other nodes are important."""
+    order = list(tree_nodes(root))
+    importance: dict[int, float] = {}
+    low: set[int] = set()
+    for node, _, whole, children in reversed(order):  # children before parents
+        text = bool(own_text(node, whole))
+        telling = [c for c in children if id(c) in importance]
+        if not text and not telling:
+            low.add(id(node))  # nothing to tell
+            continue
+        if node.key not in known:
+            importance[id(node)], least = 1.0, False
+        else:
+            look, content, weight = known[node.key]
+            parts = [importance[id(c)] for c in telling] + [content] * text
+            importance[id(node)] = content if not children else (1 - weight) * look + weight * sum(parts) / len(parts)
+            least = importance[id(node)] < LEAST_IMPORTANCE
+        if least and all(id(c) in low for c in children):
+            low.add(id(node))
+    for node, unit, whole, _ in order:
+        node.kept = id(node) not in low or whole and unit.tag in PARTS
+
+
+def main_text(page: str | None, host: str, known: Callable[[list[int]], dict[int, tuple[float, float, float]]] | None = None) -> str:
+    """The text of a page; ``known`` looks up nodes of the host's style tree."""
     root = parse(page or "", host)
-    if unimportant:
-        todo = [root]
-        while todo:
-            node = todo.pop()
-            node.kept = node.key not in unimportant
-            todo += [c for c in node.children if isinstance(c, Node)]
-    found = [t for x in roots(root) for t in blocks(x)]
-    if not found and unimportant:
-        return main_text(page, host, set())
-    return "\n".join(found)
+    if known is not None:
+        found = known([node.key for node, *_ in tree_nodes(root)])
+        if found:
+            prune(root, found)
+            if text := "\n".join(t for x in roots(root) for t in blocks(x)):
+                return text
+            return main_text(page, host)
+    return "\n".join(t for x in roots(root) for t in blocks(x))
 
 
 _HOST = re.compile(r"://([^/?#]*)")
@@ -327,65 +406,135 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def count_values(blobs: pa.Table) -> pa.Table:
+    """For each node the pages that have it, and sums over its looks and words, of one piece of the nodes' values."""
+    keys, values, units = (np.concatenate(x) for x in zip(*(one_piece(u, b) for u, b in zip(blobs.column("units").to_pylist(), blobs.column("blob").to_pylist()))))
+    order = np.lexsort((units, values, keys))
+    keys, values, units = keys[order], values[order], units[order]
+    new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (values[1:] != values[:-1])])
+    once = new | np.concatenate([[True], units[1:] != units[:-1]])
+    first = np.flatnonzero(new)
+    n = np.add.reduceat(once.astype(np.int64), first).astype(float)
+    keys, values = keys[first], values[first]
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    word = (values & np.uint64(1)).astype(bool)
+    look = ~word & (values != ANY)
+    sums = {"pages": np.where(values == ANY, n, 0), "looks": look, "look_pages": n * look, "look_logs": n * np.log(n) * look, "word_pages": n * word, "word_logs": n * np.log(n) * word}
+    return pa.table({"key": pa.array(keys[start].view(np.int64)), **{k: pa.array(np.add.reduceat(v.astype(float), start)) for k, v in sums.items()}})
+
+
+def one_piece(units: bytes, blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    keys, values, at = expand(blob, np.uint64, np.uint64, np.uint32)
+    return keys, values, expand(units, np.uint64)[0][at]
+
+
+SUMS = ["pages", "looks", "look_pages", "look_logs", "word_pages", "word_logs"]
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
-    """key, importance for every node of every host's tree that occurs LEAST_PAGES times or more, in distinct texts."""
+    """key, presentation, content and weight of the parts for every node of every host's tree that LEAST_PAGES pages or more have."""
+    size = pages.agg(F.sum(F.octet_length("html")).alias("n")).first().n or 0
+    shards = max(pages.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: set = set()
+        words, count = Words(), 0
+        parts: list[list] = [[], [], []]
+
+        def done() -> Iterator[pa.RecordBatch]:
+            keys, values, units = (np.array(p, np.uint64) for p in parts)
+            for p in parts:
+                p.clear()
+            shard = (mix64(keys ^ values) % np.uint64(shards)).astype(np.int64)
+            order = np.lexsort((values, keys, shard))
+            keys, values, units, shard = keys[order], values[order], units[order], shard[order]
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+            for k in np.flatnonzero(np.diff(cuts)):
+                own = slice(cuts[k], cuts[k + 1])
+                every, at = np.unique(units[own], return_inverse=True)
+                row = [pa.array([k], pa.int32()), pa.array([squeeze(every)], pa.binary()), pa.array([squeeze(keys[own], values[own], at.astype(np.uint32))], pa.binary())]
+                yield pa.RecordBatch.from_arrays(row, names=["shard", "units", "blob"])
+
+        for batch in slices(batches, 256):
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                seen.update(features(parse(page or "", host_of(url))))
-            rows = np.array(list(seen), np.uint64).reshape(-1, 4)
-            longs = [pa.array(np.ascontiguousarray(rows[:, i]).view(np.int64)) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([longs[0], longs[1].cast(pa.int32()), *longs[2:]], names=["key", "kind", "value", "unit"])
-
-    once = pages.mapInArrow(run, "key long, kind int, value long, unit long").distinct()
-    counts = once.groupBy("key", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n")
-    entropy = (F.log(total) - F.sum(F.col("n") * F.log("n")) / total) / F.log(total)
-    return counts.groupBy("key", "kind").agg(total.alias("total"), entropy.alias("entropy")).where(F.col("total") >= LEAST_PAGES).groupBy("key").agg(F.max("entropy").alias("importance"))
+                for p, x in zip(parts, features(parse(page or "", host_of(url)), words)):
+                    p += x
+                count += 1
+            if count >= BATCH_PAGES or len(parts[0]) > 1_000_000:
+                yield from done()
+                count = 0
+        if count:
+            yield from done()
+
+    pieces = pages.select("url", "html").mapInArrow(run, "shard int, units binary, blob binary")
+    counted = pieces.groupBy("shard").applyInArrow(lambda t: count_values(t), "key long, " + ", ".join(f"{c} double" for c in SUMS))
+    total = counted.groupBy("key").agg(*(F.sum(c).alias(c) for c in SUMS)).where(F.col("pages") >= LEAST_PAGES)
+    base = F.log("pages")
+    looks = F.when(F.col("look_pages") > 0, (F.log("look_pages") - F.col("look_logs") / F.col("look_pages")) / base).otherwise(0.0)
+    content = F.when(F.col("word_pages") > 0, 1 - F.col("word_logs") / F.col("word_pages") / base).otherwise(0.0)
+    return total.select("key", looks.alias("presentation"), content.alias("content"), F.pow(F.lit(DECAY), F.col("looks")).alias("weight"))
+
+
+class Lookup:
+    """Nodes by key in sorted arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+
+    def __call__(self, keys: list[int]) -> dict[int, tuple[float, float, float]]:
+        if not len(self.keys):
+            return {}
+        wanted = np.array(keys, np.uint64)
+        at = np.searchsorted(self.keys, wanted).clip(max=len(self.keys) - 1)
+        same = np.flatnonzero(self.keys[at] == wanted)
+        return {keys[i]: tuple(v) for i, v in zip(same.tolist(), self.values[at[same]].tolist())}
 
 
 TEXTS = "page_id long, url string, text string, n_chars long"
+VALUES = ["presentation", "content", "weight"]
 
 
 def extract_text(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    low = Workspace(spark).save(style_tree(pages).where(F.col("importance") < LEAST_IMPORTANCE).select("key"), "unimportant")
-    shared = spark.sparkContext.broadcast({r.key & (1 << 64) - 1 for r in low.collect()}) if low.count() <= BROADCAST_NODES else None
+    nodes = Workspace(spark).save(style_tree(pages), "style-tree")
 
-    def texts(batch: pa.RecordBatch, unimportant: list[set[int]] | set[int]) -> pa.RecordBatch:
-        every = unimportant if isinstance(unimportant, list) else [unimportant] * batch.num_rows
-        out = [main_text(p, host_of(u), x) for u, p, x in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), every)]
+    def texts(batch: pa.RecordBatch, known: list[Lookup]) -> pa.RecordBatch:
+        out = [main_text(p, host_of(u), x) for u, p, x in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist(), known)]
         return pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())], names=["page_id", "url", "text", "n_chars"]
         )
 
-    if shared:
+    if nodes.count() <= BROADCAST_NODES:
+        rows = nodes.select("key", *VALUES).toArrow()
+        shared = spark.sparkContext.broadcast(Lookup(rows.column("key").to_numpy().view(np.uint64), np.stack([rows.column(c).to_numpy() for c in VALUES], 1)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                yield texts(batch, shared.value)
+                yield texts(batch, [shared.value] * batch.num_rows)
 
         return pages.mapInArrow(run, TEXTS)
 
-    def node_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def page_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = []
-            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                rows += {(host_of(url), k) for k, *_ in features(parse(page or "", host_of(url)))}
-            keys = np.array([k for _, k in rows], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.string()), pa.array(keys)], names=["host", "key"])
-
-    own = pages.mapInArrow(node_keys, "host string, key long").distinct().join(low, "key", "left_semi").groupBy("host").agg(F.collect_list("key").alias("low"))
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "://([^/?#]*)", 1))
+            own, keys = [], []
+            for uid, url, page in zip(*(batch.column(c).to_pylist() for c in ("uid", "url", "html"))):
+                found = {node.key for node, *_ in tree_nodes(parse(page or "", host_of(url)))}
+                own += [uid] * len(found)
+                keys += found
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array(np.array(keys, np.uint64).view(np.int64))], names=["uid", "key"])
+
+    # equal pages of one host have the same nodes, so one row stands for them
+    uid = F.unhex(F.sha2(F.concat_ws("\n", F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))), 256))
+    named = pages.withColumn("uid", uid)
+    own = named.mapInArrow(page_keys, "uid binary, key long").distinct().join(nodes, "key").groupBy("uid").agg(F.collect_list(F.struct("key", *VALUES)).alias("nodes"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield texts(batch, [{k & (1 << 64) - 1 for k in x or ()} for x in batch.column("low").to_pylist()])
+            known = [Lookup(np.array([x["key"] for x in own or ()], np.int64).view(np.uint64), np.array([[x[c] for c in VALUES] for x in own or ()])) for own in batch.column("nodes").to_pylist()]
+            yield texts(batch, known)
 
-    return pages.withColumn("host", host).join(own, "host", "left").select("page_id", "url", "html", "low").mapInArrow(joined, TEXTS)
+    return named.join(own, "uid", "left").select("page_id", "url", "html", "nodes").mapInArrow(joined, TEXTS)
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,11 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, crc_mod, slices, table, texts, word_hashes
+from .common import Workspace, crc_mod, expand, slices, squeeze, table, texts, word_hashes
 from .elias_fano import EliasFano, pack, unpack
 
 FOLDS, HELD_OUT = 7, 2
@@ -72,22 +71,6 @@ class SharedFolder:
             return unpack(np.frombuffer(f.read(), np.uint8))
 
 
-def squeeze(*columns: np.ndarray) -> bytes:
-    """Columns of one length as compressed bytes."""
-    body = np.concatenate([np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.ravel() for c in columns])
-    return zstandard.ZstdCompressor(level=1).compress(body.tobytes())
-
-
-def expand(blob: bytes, *kinds: type) -> list[np.ndarray]:
-    body = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    sizes = [np.dtype(k).itemsize for k in kinds]
-    n, at, out = len(body) // sum(sizes), 0, []
-    for k, s in zip(kinds, sizes):
-        out.append(np.ascontiguousarray(body[at : at + n * s].reshape(s, n).T).view(k).ravel())
-        at += n * s
-    return out
-
-
 def token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """doc_ids, token hashes with the end tokens, and tokens by document, for batches of about BATCH_TOKENS."""
     ids, parts, sizes, total = [], [], [], 0

@@ -1,3 +1,8 @@
+import html
+import math
+import re
+from collections import defaultdict
+
 import pytest
 
 from shredline.llm import html_text
@@ -27,6 +32,8 @@ def extract(spark, pages):
         ("<article>one</article><article class='comment'>no</article><article>two</article>", "one\ntwo"),
         ("<article><a href='x>y'>link</a> <em title=\"<p>\">e</em></article>", "link e"),
         ("<article>1 < 2 and <3</article>", "1 < 2 and <3"),
+        ("<article><p>so <math><mi>x</mi></math> is</p></article>", "so x is"),
+        ("<main><header><h1>T</h1></header><p>m</p></main><header>no</header>", "T\nm"),
         ("<div class='layout no-sidebar'><p>kept</p><div class='left sidebar'>no</div></div>", "kept"),
         ("<ARTICLE><P CLASS=x>up</P></ARTICLE>", "up"),
         ("<script>no end", ""),
@@ -36,7 +43,7 @@ def extract(spark, pages):
     ],
 )
 def test_pages(page, text):
-    assert html_text.main_text(page, "h", set()) == text
+    assert html_text.main_text(page, "h") == text
 
 
 @pytest.mark.parametrize(
@@ -54,11 +61,16 @@ def test_pages(page, text):
         ("<article><p>a</p><div class='comments'><article class='comment'>longer than the article is</article></div></article>", "a"),
         ("<article><section class='social-history'><p>a</p></section><div class='cookie-box'>no</div></article>", "a"),
         ("<div class='with-sidebar layout-no-sidebar'><p>a</p></div><p>more text than in there</p>", "a\nmore text than in there"),
+        ("<article><pre><code>x = 1 <span class='hljs-comment'># adds one</span></code></pre></article>", "x = 1 # adds one"),
+        ("<article><h2 id='related-work'>Related work</h2><p>a</p></article>", "Related work\na"),
+        ("<article><section id='social-policy'><p>a</p></section><section id='comments'><p>b</p></section></article>", "a\nb"),
+        ("<article><p class='notice'>a</p><span class='share'>b</span><ul class='post-comments'><li>no</ul></article>", "a\nb"),
+        ("<div class='post-header'><h1>Title</h1></div><div><p>a</p></div><div class='site-footer'>no</div>", "Title\na"),
         ("<article class='social'><p>the article with most of the text</p></article><article>x</article>", "the article with most of the text\nx"),
     ],
 )
 def test_names_leave_the_article(page, text):
-    assert html_text.main_text(page, "h", set()) == text
+    assert html_text.main_text(page, "h") == text
 
 
 @pytest.mark.parametrize(
@@ -67,12 +79,12 @@ def test_names_leave_the_article(page, text):
         ("<article><a href=\"/hidden-gems\">link</a> <a href=/hidden>too</a></article>", "link too"),
         ("<article data-title=\"Hidden treasures\" data-hidden data-id='sidebar'><p title='class=ad'>a</p></article>", "a"),
         ("<article><p data-style='display:none' data-role=\"navigation\" title='x hidden'>a</p></article>", "a"),
-        ("<article><p\nID=x HIDDEN>no</p><p class = 'ad'>no</p><p title='a=b'hidden>no</p><p x=1 aria-hidden=true>no</p><p/hidden>no</p>a</article>", "a"),
+        ("<article><p\nID=x HIDDEN>no</p><div class = 'ad'>no</div><p title='a=b'hidden>no</p><p x=1 aria-hidden=true>no</p><p/hidden>no</p>a</article>", "a"),
         ("<article><p hidden>no</p><p ROLE=\"navigation\" >no</p><p data-x = \"hidden\" >a</p></article>", "a"),
     ],
 )
 def test_whole_attribute_names(page, text):
-    assert html_text.main_text(page, "h", set()) == text
+    assert html_text.main_text(page, "h") == text
 
 
 def site(k):
@@ -89,11 +101,65 @@ def test_site_style_tree(spark, monkeypatch, most):
         assert got[k, f"http://a.example/{k}"] == f"Own text {k}\nShared line"
     for k in range(3):  # too few pages to tell
         assert got[k, f"http://b.example/{k}"] == f"Shared words of the site\nOwn text {k}\nShared line"
-    # paragraphs and headings are kept where a host has copies of one page only
-    assert got[40, "http://copies.example/"] == "Own text 0\nShared line"
+    # copies of one page tell nothing, and all of it is kept
+    assert got[40, "http://copies.example/"] == "Shared words of the site\nOwn text 0\nShared line"
     assert got[99, None] == "" and got[99, "http://a.example/0"] == ""
 
 
+WORDS = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november oscar papa quebec romeo sierra tango".split()
+
+
+def plain_site(k, article):
+    """A page whose boilerplate has no tell-tale names; its page number and edition differ on every page."""
+    body = " ".join(f"{w}{(k * 7 + i * i) % 97}" for i, w in enumerate(WORDS))
+    main = f"<h1>Title {k}</h1><div class='c2'><p>{body}.</p><p>The {WORDS[k % 20]} of {k}.</p></div>"
+    main = f"<article>{main}<div class='c9'>Read our terms of use before you copy this text, page {k}</div></article>" if article else f"<div class='c1'>{main}</div>"
+    return f"<body><div class='c0'><a href='/'>Home</a> <a href='/x'>All texts of the site</a></div>{main}<div class='c8'><div>Edition {k} of the daily paper, printed and bound in the old town</div></div></body>"
+
+
+@pytest.mark.parametrize("article", [True, False])
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_boilerplate_without_names(spark, monkeypatch, most, article):
+    monkeypatch.setattr(html_text, "BROADCAST_NODES", most)
+    pages = [(k, f"http://plain.example/{k}", plain_site(k, article)) for k in range(60)]
+    got, without = extract(spark, pages), [html_text.main_text(h, "plain.example") for _, _, h in pages]
+    body = lambda k: " ".join(f"{w}{(k * 7 + i * i) % 97}" for i, w in enumerate(WORDS))
+    assert [got[k, u] for k, u, _ in pages] == [f"Title {k}\n{body(k)}.\nThe {WORDS[k % 20]} of {k}." for k in range(60)]
+    assert sum(got[k, u] != without[k] for k, u, _ in pages) == 60  # the tree alone removes these
+
+
+def entropy(counts, m):
+    return -sum(c / sum(counts) * math.log(c / sum(counts), m) for c in counts)
+
+
+@pytest.mark.parametrize("batch, shard", [(2048, 32 << 20), (3, 200)])
+def test_style_tree_is_the_entropy_of_all_pages(spark, monkeypatch, batch, shard):
+    monkeypatch.setattr(html_text, "BATCH_PAGES", batch)
+    monkeypatch.setattr(html_text, "SHARD_BYTES", shard)
+    hosts = {"a.example": [site(k % 25) + "<div>" * (k % 3) + f"<i>tail {k % 4}</i>" for k in range(40)], "b.example": [plain_site(k, True) for k in range(12)], "c.example": [site(1)] * 9}
+    pages = spark.createDataFrame([(k, f"http://{h}/", p) for h, ps in hosts.items() for k, p in enumerate(ps)], "page_id long, url string, html string")
+    got = {r.key & (1 << 64) - 1: (r.presentation, r.content, r.weight) for r in html_text.style_tree(pages).collect()}
+    wanted = {}
+    for host, ps in hosts.items():
+        looks, words, units = (defaultdict(lambda: defaultdict(set)) for _ in range(3))
+        for p in ps:
+            for node, unit, whole, children in html_text.tree_nodes(html_text.parse(p, host)):
+                name = "\n".join(html_text.blocks(unit))
+                units[node.key]["all"].add(name)
+                if children:
+                    looks[node.key][tuple(c.tag for c in children)].add(name)
+                for w in html_text.own_text(node, whole).split():
+                    words[node.key][w].add(name)
+        for key, u in units.items():
+            if (m := len(u["all"])) >= html_text.LEAST_PAGES:
+                look = entropy([len(x) for x in looks[key].values()], m) if looks[key] else 0.0
+                df = [len(x) for x in words[key].values()]
+                content = 1 - sum(n * math.log(n, m) for n in df) / sum(df) if df else 0.0
+                wanted[key] = (look, content, html_text.DECAY ** len(looks[key]))
+    assert len(wanted) > 5 and set(got) == set(wanted)
+    assert all(got[k] == pytest.approx(v, abs=1e-9) for k, v in wanted.items())
+
+
 def article(body, k=0):
     return f"<html><body><nav>n</nav><div class='ad-box'>{k}</div><article><h1>T</h1><div class='body'>{body}</div></article></body></html>"
 
@@ -122,7 +188,11 @@ def test_words_of_sentences_stay(spark):
 def test_documents(spark, sf):
     got = html_text.op3_html_extraction(spark, sf).collect()
     assert len(got) == spark.read.parquet(f"{sf}/pages.parquet").count()
-    assert all(r.text and r.n_chars == len(r.text) and "track(" not in r.text for r in got)
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    for r in got:  # the generator's pages: one article of a heading, paragraphs and breaks
+        inner = re.search("(?s)<article>(.*?)</article>", pages[r.page_id])[1]
+        lines = [" ".join(html.unescape(re.sub("<(?:br|b|/b|i|/i)>", " ", x)).split()) for x in re.split("</?(?:p|h1)>", inner)]
+        assert r.text == "\n".join(x for x in lines if x) and r.n_chars == len(r.text)
 
 
 def test_no_pages(spark):
