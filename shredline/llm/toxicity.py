@@ -2,20 +2,23 @@
 
 Texts are lower-cased, runs of white space become one space and the whole is padded with a space. The features are the
 character n-grams of ``SIZES`` hashed into ``2**BITS`` cells; a text has a cell or has it not. The classifier is fitted
-on at most ``SAMPLE_ROWS`` labelled training rows (those whose id hashes lowest): executors count in how many rows of
-each class a cell occurs, the ``CELLS`` cells with the largest log-count ratios for their frequency are kept, and
-logistic regression with an L2 penalty is fitted on presence times ratio. Ratios and weights flatter the rows that they
-come from, so slope and intercept of the final score are fitted on scores of ``CALIBRATION_FOLDS`` models for the rows that each
-has not seen. Scoring reads every whole text in one pass
+on at most ``SAMPLE_ROWS`` labelled training documents (those whose id hashes lowest): executors count in how many documents of
+each class a cell occurs, the ``CELLS`` cells of at least ``LEAST_ROWS`` documents with the largest log-count ratios for their frequency
+are kept, and logistic regression with an L2 penalty is fitted on presence times ratio until its gradient vanishes. Ratios and weights
+flatter the rows that they come from, so slope and intercept of the final score are fitted on scores of ``CALIBRATION_FOLDS`` models, each
+with cells, ratios and weights from the other folds alone. Scoring reads every whole text in one pass, in windows of ``WINDOW`` characters,
 against one weight vector of fixed size.
 
-Defined cases: null and empty texts have the n-grams of the padding alone, none, and score the intercept; repeated
-rows are each scored; a null label is no label; with no labelled rows, or one class only, the score is the smoothed
-prior; other columns are ignored; a null ``doc_id`` is scored, never held out and never labelled.
+Defined cases: null and empty texts have the n-grams of the padding alone, none, and score the intercept; very long texts are read in
+windows that overlap, so memory does not grow with them but for the text itself; a score that equals the threshold is predicted as
+1; repeated rows are each scored; of the rows of a labelled id one is learned from, and contradicting labels count as 1; a null label is no
+label, and a label without a document is not used; with no labelled rows, or one class only, the score is the smoothed
+prior; no documents give no rows; other columns are ignored; a null ``doc_id`` is scored, never held out and never labelled.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,12 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, crc_mod, slices, table, vector_blocks, vector_sum
+from .common import Workspace, crc_mod, expand, slices, squeeze, table, vector_blocks, vector_sum
 
 SIZES = (3, 4, 5, 6)
 BITS = 20
 SAMPLE_ROWS = 8192
-CELLS = 16384
+#: Cells that are kept, and documents that a kept cell occurs in.
+CELLS, LEAST_ROWS = 16384, 3
+#: Characters whose n-grams are made at once.
+WINDOW = 1 << 18
 PENALTY = 1.0
 TOLERANCE = 1e-6
 CALIBRATION_FOLDS = 4
@@ -36,12 +42,21 @@ FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
 
 
-def text_cells(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, cell) pairs in row order; with ``wanted`` only cells where it is true."""
-    padded = [f" {' '.join((t or '').lower().split())} " for t in texts]
-    sizes = np.array([len(p) for p in padded])
-    chars = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), "<u4")
-    row = np.repeat(np.arange(len(texts)), sizes)
+_SPACES = re.compile(r"\s+")
+
+
+def padded(text: str | None) -> str:
+    text = (text or "").lower()
+    # split() of a very long text would take many times its memory
+    return f" {' '.join(text.split()) if len(text) < WINDOW else _SPACES.sub(' ', text).strip()} "
+
+
+def window_cells(texts: list[str], rows: list[int], wanted: np.ndarray | None) -> np.ndarray:
+    """Distinct row << BITS | cell of the texts, which have these row numbers."""
+    sizes = np.array([len(p) for p in texts])
+    chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    row = np.repeat(np.array(rows, np.int64), sizes)
+    which = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     pairs, h = [], np.zeros(len(chars), np.uint32)
     for n in range(1, max(SIZES) + 1):
         if len(chars) < n:
@@ -49,28 +64,50 @@ def text_cells(texts: list[str | None], wanted: np.ndarray | None = None) -> tup
         h = h[: len(chars) - n + 1] * np.uint32(0x01000193) + chars[n - 1 :] + np.uint32(1)
         if n in SIZES:
             cell = ((h ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-            ok = row[: len(h)] == row[n - 1 :]
+            ok = which[: len(h)] == which[n - 1 :]
             if wanted is not None:
                 ok &= wanted[cell]
             at = np.flatnonzero(ok)
             pairs.append((row[at] << BITS) | cell[at])
-    both = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
+    return np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.int64)
+
+
+def text_cells(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, cell) pairs in row order; with ``wanted`` only cells where it is true."""
+    found, some, rows, size, kept = [np.empty(0, np.int64)], [], [], 0, 0
+    for k, text in enumerate(texts):
+        text = padded(text)
+        for at in range(0, max(1, len(text) - max(SIZES) + 1), WINDOW):
+            some.append(text[at : at + WINDOW + max(SIZES) - 1])
+            rows.append(k)
+            size += len(some[-1])
+            if size >= WINDOW:
+                found.append(window_cells(some, rows, wanted))
+                kept += len(found[-1])
+                some, rows, size = [], [], 0
+                if len(found) > 2 and kept > 4_000_000:  # a long text has most cells in every window
+                    found = [np.unique(np.concatenate(found))]
+                    kept = 0
+    if some:
+        found.append(window_cells(some, rows, wanted))
+    both = np.unique(np.concatenate(found))
     return both >> BITS, both & ((1 << BITS) - 1)
 
 
 def class_counts(sample: DataFrame, spark: SparkSession) -> np.ndarray:
-    """Rows of class 0 and of class 1 that have each cell, as one vector of 2 * 2**BITS."""
+    """Rows by fold and class that have each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, 1 << BITS), np.int32)
+        total = np.zeros((2 * CALIBRATION_FOLDS, 1 << BITS), np.int32)
         for batch in slices(batches, 512):
             row, cell = text_cells(batch.column("text").to_pylist())
-            label = batch.column("label").to_numpy()[row]
-            for k in (0, 1):
-                total[k] += np.bincount(cell[label == k], minlength=1 << BITS).astype(np.int32)
+            kind = (2 * batch.column("fold").to_numpy() + batch.column("label").to_numpy())[row]
+            for k in range(len(total)):
+                total[k] += np.bincount(cell[kind == k], minlength=1 << BITS).astype(np.int32)
         yield vector_blocks(total.ravel())
 
-    return vector_sum(sample.select("text", "label").mapInArrow(run, "block int, blob binary"), spark, "int32", 2 << BITS).reshape(2, -1)
+    sums = vector_sum(sample.select("text", "label", "fold").mapInArrow(run, "block int, blob binary"), spark, "int32", 2 * CALIBRATION_FOLDS << BITS)
+    return sums.reshape(CALIBRATION_FOLDS, 2, -1)
 
 
 class SparseRows:
@@ -137,58 +174,75 @@ def fit_line(scores: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(t[0] / scale), float(t[1])
 
 
-def calibration(cells: list[np.ndarray], y: np.ndarray, width: int) -> tuple[float, float]:
-    """Slope and intercept from scores of rows by models without them."""
-    fold, scores = np.arange(len(y)) % CALIBRATION_FOLDS, np.zeros(len(y))
-    for k in range(CALIBRATION_FOLDS):
-        learn, rest = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-        parts = [[cells[i] for i in learn if y[i] == c] for c in (0, 1)]
-        if not len(rest) or not all(parts):
-            return 1.0, 0.0
-        ratio = log_ratio(np.stack([np.bincount(np.concatenate(p), minlength=width) for p in parts]), np.array([len(p) for p in parts]))
-        w, b = fit_logistic(SparseRows([cells[i] for i in learn], ratio), y[learn], PENALTY)
-        scores[rest] = SparseRows([cells[i] for i in rest], ratio).dot(w) + b
-    return fit_line(scores, y)
-
-
 def choose_cells(counts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Kept cells and their log-count ratios: log of smoothed shares of class 1 over class 0."""
     ratio = log_ratio(counts, rows)
     total = counts.sum(0)
-    weight = np.where(total >= 3, np.abs(ratio) * np.sqrt(total), 0.0)
+    weight = np.where(total >= LEAST_ROWS, np.abs(ratio) * np.sqrt(total), 0.0)
     cells = np.argsort(-weight, kind="stable")[:CELLS]
     cells = np.sort(cells[weight[cells] > 0])
     return cells, ratio[cells]
 
 
+def among(cells: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Places in the sorted ``cells`` of those of a row that are there."""
+    at = np.searchsorted(cells, own).clip(max=max(0, len(cells) - 1))
+    return at[cells[at] == own] if len(cells) else at[:0]
+
+
+def calibration(cells: list[np.ndarray], y: np.ndarray, fold: np.ndarray, chosen: list[tuple[np.ndarray, np.ndarray]]) -> tuple[float, float]:
+    """Slope and intercept from scores of rows by models without them."""
+    scores = np.zeros(len(y))
+    for k, (kept, ratio) in enumerate(chosen):
+        learn, rest = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        if not len(rest) or len(np.unique(y[learn])) < 2:
+            return 1.0, 0.0
+        w, b = fit_logistic(SparseRows([among(kept, cells[i]) for i in learn], ratio), y[learn], PENALTY)
+        scores[rest] = SparseRows([among(kept, cells[i]) for i in rest], ratio).dot(w) + b
+    return fit_line(scores, y)
+
+
+def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """text, label and fold of at most SAMPLE_ROWS labelled training documents, written."""
+    space = Workspace(spark)
+    own = F.col(column)
+    known = labels.where(own.isin(0, 1) & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).groupBy("doc_id").agg(F.max(own.cast("int")).alias("label"))
+    ids = known.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    # at most SAMPLE_ROWS small rows, so the broadcast is bounded
+    ids = space.save(ids.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(CALIBRATION_FOLDS)).cast("int")), "ids")
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    one = found.groupBy("doc_id", "label", "fold").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return space.save(one, "sample")
+
+
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str = "toxic") -> tuple[np.ndarray, float]:
     """Weights by cell and the intercept."""
-    known = labels.where(F.col(column).isin(0, 1) & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT))
-    ids = known.select("doc_id", F.col(column).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    # at most SAMPLE_ROWS small rows, so the broadcast is bounded
-    space = Workspace(spark)
-    ids = space.save(ids, "ids")
-    sample = space.save(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "sample").coalesce(8)
-    n = {r.label: r.n for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = np.array([n.get(0, 0), n.get(1, 0)])
+    sample = labelled_sample(spark, docs, labels, column)
+    n = {(r.fold, r.label): r.n for r in sample.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = np.array([[n.get((f, k), 0) for k in (0, 1)] for f in range(CALIBRATION_FOLDS)])
+    every = rows.sum(0)
     weights = np.zeros(1 << BITS, np.float32)
-    if rows.min() == 0:
-        return weights, float(np.log((rows[1] + 1) / (rows[0] + 1)))
-    cells, ratio = choose_cells(class_counts(sample, spark), rows)
+    if every.min() == 0:
+        return weights, float(np.log((every[1] + 1) / (every[0] + 1)))
+    counts = class_counts(sample, spark)
+    cells, ratio = choose_cells(counts.sum(0), every)
+    chosen = [choose_cells(counts.sum(0) - counts[k], every - rows[k]) for k in range(CALIBRATION_FOLDS)]
     wanted = np.zeros(1 << BITS, bool)
-    wanted[cells] = True
+    for kept, _ in [(cells, ratio), *chosen]:
+        wanted[kept] = True
     shared = spark.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 128):
             row, cell = text_cells(batch.column("text").to_pylist(), shared.value)
             parts = np.split(cell.astype(np.int32), np.searchsorted(row, np.arange(1, batch.num_rows)))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array([p.tobytes() for p in parts], pa.binary())], names=["label", "cells"])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("fold"), pa.array([squeeze(p) for p in parts], pa.binary())], names=["label", "fold", "cells"])
 
-    got = sample.orderBy("doc_id").select("text", "label").mapInArrow(run, "label int, cells binary").collect()  # at most SAMPLE_ROWS * CELLS numbers
-    own, y = [np.searchsorted(cells, np.frombuffer(r.cells, np.int32)) for r in got], np.array([r.label for r in got], float)
-    w, b = fit_logistic(SparseRows(own, ratio), y, PENALTY)
-    slope, shift = calibration(own, y, len(cells))
+    # at most SAMPLE_ROWS rows with at most (1 + CALIBRATION_FOLDS) * CELLS numbers each
+    got = sample.select("doc_id", "text", "label", "fold").orderBy("doc_id").select("text", "label", "fold").mapInArrow(run, "label int, fold int, cells binary").collect()
+    own, y, fold = [expand(r.cells, np.int32)[0] for r in got], np.array([r.label for r in got], float), np.array([r.fold for r in got])
+    w, b = fit_logistic(SparseRows([among(cells, x) for x in own], ratio), y, PENALTY)
+    slope, shift = calibration(own, y, fold, chosen)
     weights[cells] = slope * w * ratio
     return weights, slope * b + shift
 
