@@ -1,15 +1,16 @@
 """Quality by regularised quadratic discriminant analysis over document statistics.
 
 A document becomes ``len(STATISTICS)`` statistics of its whole text, each put through a logarithm or square root so
-that its classes are nearer to normal. Class means and covariances come from sums over all labelled training rows,
-added up on the executors. Each covariance is shrunk towards the pooled one and that towards its scaled diagonal; its
-Cholesky factor is computed once. The score is the posterior from the difference of the log densities (Mahalanobis
-distance and log determinant) and the class priors.
-
-Defined cases: a null text is empty; an empty text has all statistics zero and is scored like any other; repeated rows
-are each scored and, where labelled, each counted; a null label is no label; with no labelled rows, or one class only,
-the score is the smoothed prior; other columns are ignored; a null ``doc_id`` is scored, never held out and never
-labelled.
+that its classes are nearer to normal. Class means and covariances come from sums over the labelled training documents (at most
+``SAMPLE_ROWS``, those whose id hashes lowest), added up on the executors. Each covariance is shrunk towards the pooled one and that towards
+its scaled diagonal; its Cholesky factor is computed once. The score is the posterior from the difference of the log densities
+(Mahalanobis distance and log determinant) and the class priors.
+
+Defined cases: a null text is empty; an empty text has all statistics zero and is scored like any other; very long texts are read whole,
+with their word windows compared as 64-bit hashes; a score that equals the threshold is predicted as 1; repeated rows
+are each scored and, where labelled, each counted; a null label is no label, and a label without a document is not used; with no
+labelled rows, or one class only, the score is the smoothed prior; no documents give no rows; other columns are ignored; a null
+``doc_id`` is scored, never held out and never labelled.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, crc_mod, slices, table, texts
+from .common import Workspace, crc_mod, shingle_hashes, slices, table, texts, word_hashes
 
 STATISTICS = (
     "log_bytes", "word_length", "upper", "digit", "symbol", "bang", "pipe", "punctuation", "other_ascii", "space", "line_breaks",
@@ -31,6 +32,8 @@ STATISTICS = (
 )
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
+#: Labelled documents that are learned from; words of a text whose windows are hashed.
+SAMPLE_ROWS, LONG_WORDS = 200_000, 200_000
 #: Shrinkage of a class covariance towards the pooled one, and of that towards its diagonal.
 TO_POOLED, TO_DIAGONAL = 0.1, 0.05
 
@@ -50,6 +53,13 @@ _GROUP[ord("|")] = 8
 _MARKED = frozenset(b"#$%&*!@^~<>=+\\_|")
 
 
+def distinct_windows(words: list[bytes]) -> int:
+    """Distinct windows of three words, which are compared as hashes in a very long text."""
+    if len(words) < LONG_WORDS:
+        return len(set(zip(words, words[1:], words[2:])))
+    return len(np.unique(shingle_hashes(word_hashes(words), 3)))
+
+
 def statistics(text: bytes) -> np.ndarray:
     out = np.zeros(len(STATISTICS))
     n = len(text)
@@ -67,7 +77,7 @@ def statistics(text: bytes) -> np.ndarray:
         out[1] = np.log(sum(map(len, words)) / w)
         out[11] = len(seen) / w ** 0.9
         out[12] = np.sqrt(max(seen.values()) / w)
-        out[14] = np.log(0.02 + len(set(zip(words, words[1:], words[2:]))) / max(1, w - 2)) if w > 2 else 0.0
+        out[14] = np.log(0.02 + distinct_windows(words) / max(1, w - 2)) if w > 2 else 0.0
         out[17] = np.sqrt(sum(x[-1] in _MARKED for x in words) / w)
         out[18] = np.log(max(map(len, words)))
     out[2:11] = np.sqrt(groups[[1, 2, 3, 7, 8, 4, 6, 5, 0]])
@@ -149,38 +159,19 @@ class Discriminant:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def labelled_statistics(stats: DataFrame, labels: DataFrame, column: str) -> DataFrame:
-    known = labels.where(F.col(column).isin(0, 1)).select("doc_id", F.col(column).cast("int").alias("label"))
-    return stats.where(crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT).join(known, "doc_id")
-
-
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Discriminant]:
-    """The written statistics of the documents and the model of their labelled training rows."""
-    stats = Workspace(spark).save(document_statistics(docs), "statistics")
-    return stats, Discriminant(class_sums(labelled_statistics(stats, labels, "quality")))
-
-
-def good_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents, with all their columns, that are predicted as good; no shuffle moves them."""
-    model = spark.sparkContext.broadcast(fit(spark, docs, labels)[1])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows = np.array([statistics(t) for t in texts(batch)]).reshape(-1, len(STATISTICS))
-            yield batch.filter(pa.array(model.value.scores(rows) >= threshold))
-
-    return docs.mapInArrow(run, docs.schema)
-
-
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Discriminant]:
-    """The written statistics of the documents and the model of their labelled training rows."""
-    stats = Workspace(spark).save(document_statistics(docs), "statistics")
-    return stats, Discriminant(class_sums(labelled_statistics(stats, labels, "quality")))
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str = "quality") -> Discriminant:
+    """The model of the labelled training documents; only their statistics are made."""
+    space, own = Workspace(spark), F.col(column)
+    known = labels.where(own.isin(0, 1) & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id", own.cast("int").alias("label"))
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE_ROWS)
+    # at most SAMPLE_ROWS small rows, so the broadcast is bounded and no text moves
+    known = space.save(known, "labels")
+    return Discriminant(class_sums(document_statistics(docs.join(F.broadcast(known.select("doc_id").distinct()), "doc_id", "left_semi")).join(F.broadcast(known), "doc_id")))
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with all their columns, that are predicted as good; no shuffle moves them."""
-    model = spark.sparkContext.broadcast(fit(spark, docs, labels)[1])
+    model = spark.sparkContext.broadcast(fit(spark, docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -192,15 +183,14 @@ def good_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, thre
 
 def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
-    stats, fitted = fit(spark, docs, labels)
-    model = spark.sparkContext.broadcast(fitted)
+    model = spark.sparkContext.broadcast(fit(spark, docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column("stats").flatten().to_numpy().reshape(-1, len(STATISTICS))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.value.scores(x))], names=["doc_id", "score"])
+        for batch in slices(batches):
+            rows = np.array([statistics(t) for t in texts(batch)]).reshape(-1, len(STATISTICS))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.value.scores(rows))], names=["doc_id", "score"])
 
-    return stats.mapInArrow(run, "doc_id long, score double").select(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double").select(
         "doc_id",
         F.coalesce(crc_mod(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
         "score",
