@@ -1,3 +1,6 @@
+import time
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -73,7 +76,7 @@ def test_documents_against_brute_force(spark, sf):
         for item in items:
             p = plain.text(item.text.encode())
             if len(np.intersect1d(p, t)) >= 0.6 * len(np.unique(p)):
-                if sum(n for *_, n in tile(p, t, np.ones(len(t), bool), 5)) >= 0.6 * len(p):
+                if sum(brute_tiles(p.tolist(), t.tolist(), 5)) >= 0.6 * len(p):
                     wanted.add((d.doc_id, item.item_id))
     assert {tuple(r)[:2] for r in decontamination.op2_benchmark_decontamination(spark, sf).collect()} == wanted
 
@@ -83,3 +86,65 @@ def test_odd_documents(spark, odd_docs, no_docs):
     got = sorted((tuple(r)[:2] for r in decontamination.contaminated_pairs(spark, odd_docs, items).collect()), key=str)
     assert got == sorted([(5, 1), (6, 1), (6, 1), (None, 1), (7, None), (8, None)], key=str)
     assert decontamination.without_contaminated(spark, no_docs, items).count() == 0
+
+
+def plain_tiles(p, t, least):
+    """Greedy tiles by definition: the longest common run of unmarked words, of equal ones the first in the item, then in the document."""
+    free_p, free_t, out = [True] * len(p), [True] * len(t), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(p)):
+            for j in range(len(t)):
+                n = 0
+                while i + n < len(p) and j + n < len(t) and free_p[i + n] and free_t[j + n] and p[i + n] == t[j + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < least:
+            return sorted(out)
+        for k in range(n):
+            free_p[i + k] = free_t[j + k] = False
+        out.append((i, j, n))
+
+
+@pytest.mark.parametrize("seed", range(30))
+@pytest.mark.parametrize("words", [2, 4, 30])
+def test_tiles_by_definition(seed, words):
+    rng = np.random.default_rng(seed)
+    p, t = rng.integers(0, words, rng.integers(0, 40)).astype(np.uint64), rng.integers(0, words, rng.integers(0, 60)).astype(np.uint64)
+    usable = rng.random(len(t)) < 0.9
+    t = np.where(usable, t, np.uint64(99))  # what is not usable matches nothing
+    assert sorted(tile(p, t, usable, 2)) == plain_tiles(p.tolist(), t.tolist(), 2)
+
+
+def test_repeats_are_cheap():
+    start = time.perf_counter()
+    spam = PlainWords().text(b"spam " * 2000)
+    assert tile(spam, PlainWords().text(b"spam " * 20_000), np.ones(20_000, bool), 5) == [(0, 0, 2000)]
+    text = PlainWords().text((" ".join(f"w{k % 50}" for k in range(3000)) + " x ") .encode() * 7)
+    item = PlainWords().text(" ".join(f"w{k % 7}" for k in range(1000)).encode())
+    tile(item, text, np.ones(len(text), bool), 5)
+    assert time.perf_counter() - start < 2
+
+
+def test_a_common_seed_of_many_items_and_places():
+    common = "one two three four five"
+    items = [(k, PlainWords().text(f"{common} {' '.join(f'i{k}x{j}' for j in range(30))}".encode())) for k in range(2000)]
+    match = decontamination.Matcher([*items, (9999, PlainWords().text(f"{common} six seven".encode()))], 5, 0.6)
+    tracemalloc.start()
+    found = match(PlainWords().text(f"{common} ".encode() * 2000 + b"six seven"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[0] for f in found] == [9999] and peak < 40e6
+
+
+def test_blocks_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 100)
+    items = spark.createDataFrame([(1, "a b c d e f")] * 30 + [(2, "x " * 200), (3, None)], "item_id long, text string")
+    cut, blocks = decontamination.blocks_of(spark, items)
+    sizes = {}
+    for r in cut.collect():
+        sizes.setdefault(r.block, []).append(len(r.text))
+    assert sorted(sizes) == blocks and all(sum(s) <= 100 or len(s) == 1 for s in sizes.values())
+    assert cut.count() == 32
