@@ -12,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Keys that are broadcast to leave rows out; more of them meet the rows in a join.
+BROADCAST_KEYS = 500_000
+FILTER_BITS = 27
+KEY_HASH = "_shredline_key_hash"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -63,6 +67,46 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(F.coalesce(col, F.lit("")), UPPER, LOWER)
 
 
+def without_keys(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows whose key is not among the distinct ``keys``; null keys are equal. Few keys are broadcast, so that rows do not move. Of many,
+    a filter of fixed size lets the rows pass that have none, and only the others are shuffled."""
+    spark = rows.sparkSession
+    keys = Workspace(spark).save(keys.withColumn(KEY_HASH, F.xxhash64(*columns)), "keys")
+    n = keys.count()
+    if n == 0:
+        return rows
+    if n <= BROADCAST_KEYS:
+        keys, met = F.broadcast(keys), rows.withColumn(KEY_HASH, F.xxhash64(*columns))
+        return leave_out(met, keys, columns).select(rows.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            bits[batch.column(KEY_HASH).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
+        yield vector_blocks(np.packbits(bits))
+
+    packed = vector_sum(keys.select(KEY_HASH).mapInArrow(run, "block int, blob binary"), spark, "uint8", 1 << FILTER_BITS - 3, np.bitwise_or)
+    shared = spark.sparkContext.broadcast(np.unpackbits(packed).astype(bool))
+    met = rows.withColumn(KEY_HASH, F.xxhash64(*columns))
+
+    def among(wanted: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = shared.value[batch.column(KEY_HASH).to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)]
+                yield batch.filter(pa.array(hit == wanted))
+
+        return met.mapInArrow(run, met.schema)
+
+    return among(False).unionByName(leave_out(among(True), keys, columns)).select(rows.columns)
+
+
+def leave_out(rows: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    met = F.col(f"l.{KEY_HASH}") == F.col(f"r.{KEY_HASH}")
+    for c in columns:
+        met = met & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return rows.alias("l").join(keys.alias("r"), met, "left_anti")
+
+
 def crc_mod(doc_id: Column, m: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(m))
 

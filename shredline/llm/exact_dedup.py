@@ -9,15 +9,19 @@ their SHA-256. Documents are equal when their ordered identifier lists are. Text
 
 Defined cases: null and empty texts are equal (the empty list); of equal texts the largest ``doc_id`` stays; rows
 that repeat a ``doc_id`` are each returned and counted, and all of them are kept if their id is the largest; a null
-``doc_id`` never is a ``keep_id`` unless the whole group is null; other columns are ignored.
+``doc_id`` never is a ``keep_id`` unless the whole group is null; very long texts are cut and hashed whole; no rows give no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, lower_ascii, table
+from .common import Workspace, lower_ascii, table, without_keys
 
 MIN_CHUNK, MAX_CHUNK = 512, 8192
 
@@ -70,6 +74,24 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, weak_bits: int = 64)
     )
 
 
+def without_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, without copies: of equal texts one row with the largest ``doc_id`` stays, and no text goes
+    that has no copy, also where ids repeat. A row is known by its id and its text's digest; what goes is met as ids and digests."""
+    key = ["doc_id", "_shredline_text_sha256"]
+    found = Workspace(spark).save(exact_duplicates(spark, docs).withColumnRenamed("text_sha256", key[1]), "copies")
+    by_row = found.groupBy(*key).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"), F.max("group_size").alias("size"), F.max("keep_id").alias("keep_id"))
+    # a group without any id keeps a row too
+    by_row = by_row.withColumn("kept", F.col("kept") | F.col("keep_id").isNull())
+    named = docs.withColumn(key[1], F.sha2(lower_ascii(F.col("text")), 256))
+    left = without_keys(named, by_row.where(~F.col("kept")).select(*key), key)
+    again = by_row.where(F.col("kept") & (F.col("n") > 1)).select(*key)
+    if again.isEmpty():
+        return left.select(docs.columns)
+    same = reduce(and_, (F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key))
+    repeated = left.alias("l").join(again.alias("r"), same, "left_semi").dropDuplicates(key)
+    return without_keys(left, again, key).unionByName(repeated).select(docs.columns)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(spark, table(spark, sf_dir, "documents"))
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, shingle_hashes, slices, table, texts, vector_blocks, vector_sum, word_hashes
+from .common import Workspace, shingle_hashes, slices, table, texts, vector_blocks, vector_sum, without_keys, word_hashes
 from .graph import components
 
 WIDTH = 5
@@ -392,6 +392,14 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return full.unionByName(bare)
 
 
+def without_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, of each component the one with the smallest id. A row whose id another row of a different
+    text shares is dropped only if all rows of the id are to go; one without an id never."""
+    ids = jaccard_components(spark, docs).where(F.col("doc_id").isNotNull())
+    dropped = ids.groupBy("doc_id").agg(F.min((F.col("doc_id") != F.col("component_id")).cast("int")).alias("all")).where("all = 1").select("doc_id")
+    return without_keys(docs, dropped, ["doc_id"])
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, table(spark, sf_dir, "documents"))
 
