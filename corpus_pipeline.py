@@ -1,14 +1,13 @@
 """A training corpus from raw documents: quality, exact and near duplicates, benchmark passages, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. A
-stage works on what its predecessor kept. Stages that drop documents treat ``doc_id`` as a key; a row with a null
-``doc_id`` is dropped for its quality or its benchmark passages only, never as a duplicate.
+stage works on what its predecessor kept. Where a ``doc_id`` repeats with different texts, no text is lost: exact duplicates are dropped by id
+and text, and near duplicates only if all rows of their id are. A row with a null ``doc_id`` is never dropped as a near duplicate.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shredline.llm import decontamination, exact_dedup, jaccard_join, packing, quality
 from shredline.llm.common import Workspace, table
@@ -21,14 +20,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
-    dropped = exact_dedup.exact_duplicates(spark, docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return exact_dedup.without_duplicates(spark, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document with the smallest id."""
-    dropped = jaccard_join.jaccard_components(spark, docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    return jaccard_join.without_near_duplicates(spark, docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
