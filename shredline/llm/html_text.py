@@ -39,6 +39,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -249,7 +250,7 @@ def clean(text: str) -> str:
 
 
 class Words:
-    """Odd 64-bit hashes of words, remembered up to a number of words."""
+    """64-bit hashes of words, remembered up to a number of words."""
 
     def __init__(self, most: int = 300_000):
         from xxhash import xxh3_64_intdigest
@@ -261,55 +262,59 @@ class Words:
         if len(known) > self.most:
             known.clear()
         for w in words.difference(known):
-            known[w] = self.digest(w.encode("utf-8", "surrogatepass")) | 1
+            known[w] = self.digest(w.encode("utf-8", "surrogatepass"))
         return [known[w] for w in words]
 
 
-#: The value that every page has at a node.
-ANY = 0
+#: Kinds of values at a node: what every page has, a look, a word.
+ANY, LOOK, WORD = 0, 1, 2
 
 
 def own_text(node: Node, whole: bool) -> str:
     """The text of a node without its elements, or with them."""
     if not whole:
-        return clean(" ".join(c for c in node.children if isinstance(c, str)))
-    return "\n".join(blocks(node))
+        return html.unescape(" ".join(c for c in node.children if isinstance(c, str)))
+    out, todo = [], node.children[::-1]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif not x.drop:
+            if x.tag in ("br", "img"):
+                out.append(" ")
+            todo += x.children[::-1]
+    return html.unescape("".join(out))
 
 
-def tree_nodes(root: Node) -> Iterator[tuple[Node, Node, bool, list[Node]]]:
-    """The nodes of a page that are in the style tree, parents first: with the outermost article, else main part, else the page, that
-    holds it, whether its text is that of all that is in it, and its child elements in the tree."""
-    todo = [(root, root)]
+def tree_nodes(root: Node) -> Iterator[tuple[Node, bool, bool, list[Node]]]:
+    """The nodes of a page that are in the style tree, parents first: with whether they are in an article or main part, whether their
+    text is that of all that is in them, and their child elements in the tree."""
+    todo = [(root, False)]
     while todo:
-        node, unit = todo.pop()
-        if node.tag in PARTS and unit.tag != "article" and (node.tag == "article" or unit is root):
-            unit = node
+        node, inside = todo.pop()
         whole = node.tag in SENTENCES
         children = [] if whole else [c for c in node.children if isinstance(c, Node) and c.tag not in RAW and c.tag not in VOID]
-        yield node, unit, whole, children
-        todo += [(c, unit) for c in children]
+        yield node, inside, whole, children
+        inside |= node.tag in PARTS
+        todo += [(c, inside) for c in children]
+
+
+def unit_of(root: Node) -> str:
+    """What tells a page from its copies: the text of its articles, else of its main part, else of all of it."""
+    return "\n".join(t for x in roots(root) for t in blocks(x))
 
 
-def features(root: Node, words: Words) -> tuple[list[int], list[int], list[int]]:
-    """Node keys, values and units of a page, once each: ANY, the even hash of a look or the odd hash of a word. The unit is
-    the text of the outermost article that holds the node, else of the main part, else of the page."""
+def features(root: Node, words: Words) -> dict[int, tuple[set[int], set[int]]]:
+    """The looks and words of a page at each node, as hashes."""
     from xxhash import xxh3_64_intdigest as digest
 
-    units: dict[int, int] = {}
-    seen: dict[tuple[int, int], set[int]] = {}
-    for node, unit, whole, children in tree_nodes(root):
-        if id(unit) not in units:
-            units[id(unit)] = digest("\n".join(blocks(unit)).encode("utf-8", "surrogatepass"))
-        values = seen.setdefault((node.key, units[id(unit)]), {ANY})
+    seen: dict[int, tuple[set[int], set[int]]] = {}
+    for node, _, whole, children in tree_nodes(root):
+        looks, own = seen.setdefault(node.key, (set(), set()))
         if children:
-            values.add(digest(" ".join(c.tag for c in children).encode()) & ~1 or 2)
-        values.update(words(own_text(node, whole)))
-    keys, every, owners = [], [], []
-    for (key, unit), values in seen.items():
-        keys += [key] * len(values)
-        every += values
-        owners += [unit] * len(values)
-    return keys, every, owners
+            looks.add(digest(" ".join([c.tag for c in children])))
+        own.update(words(own_text(node, whole)))
+    return seen
 
 
 def blocks(root: Node) -> list[str]:
@@ -363,11 +368,13 @@ def roots(root: Node) -> list[Node]:
 def prune(root: Node, known: dict[int, tuple[float, float, float]]) -> None:
     """Takes the branches that are unimportant throughout out of the page. ``known`` has by key the presentation, the content and the
     weight of the parts; other nodes are important."""
+    if all(content >= LEAST_IMPORTANCE for _, content, _ in known.values()):
+        return  # every branch has a leaf, and that only its content
     order = list(tree_nodes(root))
     importance: dict[int, float] = {}
     low: set[int] = set()
     for node, _, whole, children in reversed(order):  # children before parents
-        text = bool(own_text(node, whole))
+        text = bool(own_text(node, whole).strip())
         telling = [c for c in children if id(c) in importance]
         if not text and not telling:
             low.add(id(node))  # nothing to tell
@@ -381,8 +388,8 @@ def prune(root: Node, known: dict[int, tuple[float, float, float]]) -> None:
             least = importance[id(node)] < LEAST_IMPORTANCE
         if least and all(id(c) in low for c in children):
             low.add(id(node))
-    for node, unit, whole, _ in order:
-        node.kept = id(node) not in low or whole and unit.tag in PARTS
+    for node, inside, whole, _ in order:
+        node.kept = id(node) not in low or whole and inside
 
 
 def main_text(page: str | None, host: str, known: Callable[[list[int]], dict[int, tuple[float, float, float]]] | None = None) -> str:
@@ -406,28 +413,73 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
-def count_values(blobs: pa.Table) -> pa.Table:
-    """For each node the pages that have it, and sums over its looks and words, of one piece of the nodes' values."""
-    keys, values, units = (np.concatenate(x) for x in zip(*(one_piece(u, b) for u, b in zip(blobs.column("units").to_pylist(), blobs.column("blob").to_pylist()))))
-    order = np.lexsort((units, values, keys))
-    keys, values, units = keys[order], values[order], units[order]
-    new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (values[1:] != values[:-1])])
-    once = new | np.concatenate([[True], units[1:] != units[:-1]])
-    first = np.flatnonzero(new)
-    n = np.add.reduceat(once.astype(np.int64), first).astype(float)
-    keys, values = keys[first], values[first]
-    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    word = (values & np.uint64(1)).astype(bool)
-    look = ~word & (values != ANY)
-    sums = {"pages": np.where(values == ANY, n, 0), "looks": look, "look_pages": n * look, "look_logs": n * np.log(n) * look, "word_pages": n * word, "word_logs": n * np.log(n) * word}
-    return pa.table({"key": pa.array(keys[start].view(np.int64)), **{k: pa.array(np.add.reduceat(v.astype(float), start)) for k, v in sums.items()}})
-
-
-def one_piece(units: bytes, blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, values, at = expand(blob, np.uint64, np.uint64, np.uint32)
-    return keys, values, expand(units, np.uint64)[0][at]
-
-
+class Piece(NamedTuple):
+    """Sorted hashes of (node, value) with node, kind and number of pages each, and the units of these pages, as places in ``units``."""
+
+    pair: np.ndarray
+    key: np.ndarray
+    kind: np.ndarray
+    n: np.ndarray
+    at: np.ndarray
+    units: np.ndarray
+
+    @classmethod
+    def unpack(cls, row: dict) -> Piece:
+        pair, key, kind, n = expand(row["pairs"], np.uint64, np.uint32, np.uint8, np.uint32)
+        return cls(pair, expand(row["keys"], np.uint64)[0][key], kind, n, expand(row["places"], np.uint32)[0], expand(row["units"], np.uint64)[0])
+
+
+def pieces(pair: np.ndarray, key: np.ndarray, kind: np.ndarray, unit: np.ndarray, shards: int) -> Iterator[dict]:
+    """The pages' values cut by ranges of the hash of node and value."""
+    order = np.argsort(pair, kind="stable")
+    pair, key, kind, unit = pair[order], key[order], kind[order], unit[order]
+    shard = (pair >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    cuts = np.searchsorted(shard, np.arange(shards + 1).astype(np.uint64))
+    for k in np.flatnonzero(np.diff(cuts)):
+        own = slice(cuts[k], cuts[k + 1])
+        first = np.flatnonzero(np.concatenate([[True], pair[own][1:] != pair[own][:-1]]))
+        n = np.diff(np.concatenate([first, [cuts[k + 1] - cuts[k]]]))
+        units, at = np.unique(unit[own], return_inverse=True)
+        keys, which = np.unique(key[own][first], return_inverse=True)
+        pairs = squeeze(pair[own][first], which.astype(np.uint32), kind[own][first], n.astype(np.uint32))
+        yield {"shard": int(k), "pairs": pairs, "keys": squeeze(keys), "places": squeeze(at.astype(np.uint32)), "units": squeeze(units)}
+
+
+def count_values(rows: pa.Table) -> pa.Table:
+    """For each node the pages that have it, and sums over its looks and words, of one range of the hashes. A page that several pieces have counts once."""
+    every = [Piece.unpack(r) for r in rows.drop_columns("shard").to_pylist()]
+    units, times = np.unique(np.concatenate([p.units for p in every]), return_counts=True)
+    repeated = units[times > 1]
+    pairs, keys, kinds, counts, again = [], [], [], [], []
+    for p in every:
+        twice = np.isin(p.units, repeated)[p.at]
+        start = np.cumsum(p.n.astype(np.int64)) - p.n
+        pairs.append(p.pair)
+        keys.append(p.key)
+        kinds.append(p.kind)
+        counts.append(np.add.reduceat((~twice).astype(np.int64), start))
+        again.append(np.stack([np.repeat(p.pair, p.n)[twice], p.units[p.at[twice]]], 1))
+    both = np.concatenate(again)
+    if len(both):
+        both = both[np.lexsort((both[:, 1], both[:, 0]))]
+        both = both[np.concatenate([[True], (both[1:] != both[:-1]).any(1)])]
+        pair, n = np.unique(both[:, 0], return_counts=True)
+    pair_, key, kind, count = (np.concatenate(x) for x in (pairs, keys, kinds, counts))
+    order = np.argsort(pair_, kind="stable")
+    pair_, key, kind, count = pair_[order], key[order], kind[order], count[order]
+    first = np.flatnonzero(np.concatenate([[True], pair_[1:] != pair_[:-1]]))
+    pair_, key, kind, count = pair_[first], key[first], kind[first], np.add.reduceat(count, first)
+    if len(both):
+        count[np.searchsorted(pair_, pair)] += n
+    order = np.argsort(key, kind="stable")
+    key, kind, n = key[order], kind[order], count[order].astype(float)
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    logs, look, word = n * np.log(n), kind == LOOK, kind == WORD
+    sums = {"pages": n * (kind == ANY), "looks": look, "look_pages": n * look, "look_logs": logs * look, "word_pages": n * word, "word_logs": logs * word}
+    return pa.table({"key": pa.array(key[start].view(np.int64)), **{k: pa.array(np.add.reduceat(v.astype(float), start)) for k, v in sums.items()}})
+
+
+PIECES = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in ("pairs", "keys", "places", "units"))])
 SUMS = ["pages", "looks", "look_pages", "look_logs", "word_pages", "word_logs"]
 
 
@@ -437,40 +489,48 @@ def style_tree(pages: DataFrame) -> DataFrame:
     shards = max(pages.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, count = Words(), 0
-        parts: list[list] = [[], [], []]
+        from xxhash import xxh3_64_intdigest as digest
+
+        words = Words()
+        values: list[int] = []
+        parts: list[tuple[int, int, int, int]] = []  # node, kind, unit and number of values
+        pages = 0
 
         def done() -> Iterator[pa.RecordBatch]:
-            keys, values, units = (np.array(p, np.uint64) for p in parts)
-            for p in parts:
-                p.clear()
-            shard = (mix64(keys ^ values) % np.uint64(shards)).astype(np.int64)
-            order = np.lexsort((values, keys, shard))
-            keys, values, units, shard = keys[order], values[order], units[order], shard[order]
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
-            for k in np.flatnonzero(np.diff(cuts)):
-                own = slice(cuts[k], cuts[k + 1])
-                every, at = np.unique(units[own], return_inverse=True)
-                row = [pa.array([k], pa.int32()), pa.array([squeeze(every)], pa.binary()), pa.array([squeeze(keys[own], values[own], at.astype(np.uint32))], pa.binary())]
-                yield pa.RecordBatch.from_arrays(row, names=["shard", "units", "blob"])
+            key, kind, unit, n = (np.array(x, np.uint64) for x in zip(*parts))
+            n = n.astype(np.int64)
+            key, kind, unit = np.repeat(key, n), np.repeat(kind, n), np.repeat(unit, n)
+            pair = mix64(key ^ mix64(np.array(values, np.uint64) * np.uint64(4) + kind))
+            # one of equal pages
+            same = mix64(pair ^ unit)
+            once = np.unique(same, return_index=True)[1] if len(set(x[2] for x in parts)) < pages else slice(None)
+            for row in pieces(pair[once], key[once], kind[once].astype(np.uint8), unit[once], shards):
+                yield pa.RecordBatch.from_pylist([row], PIECES)
+            values.clear()
+            parts.clear()
 
         for batch in slices(batches, 256):
             for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                for p, x in zip(parts, features(parse(page or "", host_of(url)), words)):
-                    p += x
-                count += 1
-            if count >= BATCH_PAGES or len(parts[0]) > 1_000_000:
+                root = parse(page or "", host_of(url))
+                unit = digest(unit_of(root).encode("utf-8", "surrogatepass"))
+                for key, (looks, own) in features(root, words).items():
+                    values.append(0)
+                    values += looks
+                    values += own
+                    parts += [(key, ANY, unit, 1), (key, LOOK, unit, len(looks)), (key, WORD, unit, len(own))]
+                pages += 1
+            if pages >= BATCH_PAGES or len(values) > 1_000_000:
                 yield from done()
-                count = 0
-        if count:
+                pages = 0
+        if pages:
             yield from done()
 
-    pieces = pages.select("url", "html").mapInArrow(run, "shard int, units binary, blob binary")
-    counted = pieces.groupBy("shard").applyInArrow(lambda t: count_values(t), "key long, " + ", ".join(f"{c} double" for c in SUMS))
+    cut = pages.select("url", "html").mapInArrow(run, "shard int, pairs binary, keys binary, places binary, units binary")
+    counted = cut.groupBy("shard").applyInArrow(lambda t: count_values(t), "key long, " + ", ".join(f"{c} double" for c in SUMS))
     total = counted.groupBy("key").agg(*(F.sum(c).alias(c) for c in SUMS)).where(F.col("pages") >= LEAST_PAGES)
     base = F.log("pages")
     looks = F.when(F.col("look_pages") > 0, (F.log("look_pages") - F.col("look_logs") / F.col("look_pages")) / base).otherwise(0.0)
-    content = F.when(F.col("word_pages") > 0, 1 - F.col("word_logs") / F.col("word_pages") / base).otherwise(0.0)
+    content = F.when(F.col("word_pages") > 0, 1 - F.col("word_logs") / F.col("word_pages") / base).otherwise(1.0)
     return total.select("key", looks.alias("presentation"), content.alias("content"), F.pow(F.lit(DECAY), F.col("looks")).alias("weight"))
 
 

@@ -143,8 +143,9 @@ def test_style_tree_is_the_entropy_of_all_pages(spark, monkeypatch, batch, shard
     for host, ps in hosts.items():
         looks, words, units = (defaultdict(lambda: defaultdict(set)) for _ in range(3))
         for p in ps:
-            for node, unit, whole, children in html_text.tree_nodes(html_text.parse(p, host)):
-                name = "\n".join(html_text.blocks(unit))
+            root = html_text.parse(p, host)
+            name = html_text.main_text(p, host)
+            for node, _, whole, children in html_text.tree_nodes(root):
                 units[node.key]["all"].add(name)
                 if children:
                     looks[node.key][tuple(c.tag for c in children)].add(name)
@@ -154,7 +155,7 @@ def test_style_tree_is_the_entropy_of_all_pages(spark, monkeypatch, batch, shard
             if (m := len(u["all"])) >= html_text.LEAST_PAGES:
                 look = entropy([len(x) for x in looks[key].values()], m) if looks[key] else 0.0
                 df = [len(x) for x in words[key].values()]
-                content = 1 - sum(n * math.log(n, m) for n in df) / sum(df) if df else 0.0
+                content = 1 - sum(n * math.log(n, m) for n in df) / sum(df) if df else 1.0
                 wanted[key] = (look, content, html_text.DECAY ** len(looks[key]))
     assert len(wanted) > 5 and set(got) == set(wanted)
     assert all(got[k] == pytest.approx(v, abs=1e-9) for k, v in wanted.items())
