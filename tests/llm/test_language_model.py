@@ -69,6 +69,27 @@ def test_documents(spark, sf, monkeypatch, shard, batch):
     check(spark, spark.read.parquet(f"{sf}/documents.parquet"))
 
 
+@pytest.mark.parametrize("bits", [64 << 20, 1000])
+def test_a_word_with_half_of_all_grams(spark, monkeypatch, bits):
+    """The hot word is cut by the words before it, also where these are hot themselves."""
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 300)
+    monkeypatch.setattr(language_model, "BATCH_TOKENS", 500)
+    monkeypatch.setattr(language_model, "VOCABULARY_BYTES", bits)
+    rng = np.random.default_rng(4)
+    word = lambda: "the" if rng.random() < 0.5 else f"w{int(rng.zipf(1.3)) % 300}"
+    rows = [(k, " ".join(word() for _ in range(int(rng.integers(0, 120))))) for k in range(150)] + [(900 + k, "the " * 400) for k in range(4)] + [(1000 + k, f"the new{k} the") for k in range(20)]
+    check(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_ranges_deal_every_gram_once():
+    ranges = language_model.Ranges(np.array([0, 4, 5, 9, 12]), {4: 10 * language_model.SHARD_TOKENS})
+    v, u = (x.ravel() for x in np.meshgrid(np.arange(-1, 12), np.arange(-1, 12), indexing="ij"))
+    shard = ranges.of(v, u)
+    assert (shard[v < 0] == -1).all() and set(shard[v >= 0]) == set(range(ranges.shards)) and (np.diff(shard) >= 0).all()
+    assert len(set(shard[v == 4])) == 4 and all(len(set(shard[v == k])) == 1 for k in (0, 5, 11))
+    assert [ranges.range_of(k) for k in range(ranges.shards)] == [0, 1, 1, 1, 1, 2, 3]
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     check(spark, odd_docs)
     assert language_model.language_model_scores(spark, no_docs).count() == 0
@@ -95,7 +116,7 @@ def test_probabilities_sum_to_one():
     vocabulary.counts = lambda ids: counts[ids]
     vocabulary.log_base = lambda c: np.log10((c + 1) / (counts.sum() + size + 1))
     u, v, w = words[:-2], words[1:-1], words[2:]
-    grams = language_model.merge_grams([(v, u, w, np.ones(len(v), np.int64))], size)
+    grams = language_model.merge_grams([(v, u, w, np.ones(len(v), np.int64))], size)[:4]
     trie = language_model.Trie(unpack(np.frombuffer(pack(language_model.build_shard(*grams, 0, size + 1, vocabulary)), np.uint8)))
     for a, b in ((int(u[0]), int(v[0])), (-1, 3), (5, 5)):
         every = np.append(np.arange(size), -1)
