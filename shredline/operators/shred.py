@@ -1,12 +1,11 @@
 """XML records to attribute rows.
 
-A record is simple when its text is a ``row`` element whose children have no more than an ``m`` attribute and text
-with the five named entities: every ``<`` then belongs to the root or to a child that one pattern finds, which is
-counted. Simple records, which is nearly all, are cut into child elements by that pattern in the JVM, with any element names.
-The others (comments, CDATA, nested content, other attributes, empty-element tags, numeric references, another
-root, malformed text) go through an Arrow function over a DOM that gives the same canonical elements, so the plan has one
-scan, and Python receives nulls for records that need nothing of it. Malformed records give no rows; ``quarantined``
-lists them."""
+A record is simple when one pattern matches the whole of its text: a ``row`` element with one attribute at most, text with the five
+named entities, and children with no more than an ``m`` attribute and such text. Simple records, which is nearly all, are cut into child
+elements in the JVM, with any element names. The others (comments, CDATA, nested content, other attributes, empty-element tags,
+numeric references, another root, malformed text) go through an Arrow function over a DOM that gives the same canonical elements,
+so the plan has one scan, and Python receives nulls for records that need nothing of it. Malformed records give no rows;
+``quarantined`` lists them."""
 
 from __future__ import annotations
 
@@ -22,11 +21,13 @@ from ..functions.columns import blank_to_null, try_compact_date, try_index
 
 NAME_LENGTH, INDEX_LENGTH, VALUE_LENGTH = 16, 10, 4000
 DATE_CODE = "c167"
-_NAME = r"[A-Za-z_][\w.\-]*"
-_CHILD = rf'<({_NAME})(?: m="[^"<>]*")?>[^<]*</\1>'
-_ROOT = rf'\A<row(?:\s+{_NAME}="[^"<]*")*\s*>'
+_NAME = r"[A-Za-z_][\w.\-]*+"
 _ENTITY = "&(?:lt|gt|amp|quot|apos);"
-_ODD = r"\]\]>|[\x00-\x08\x0B-\x1F\uFFFE\uFFFF]"
+_TEXT = rf"(?:[^<&\x00-\x08\x0B-\x1F\uFFFE\uFFFF]++|{_ENTITY})*+"
+_MARK = rf'"(?:[^<>&"\x00-\x1F\uFFFE\uFFFF]++|{_ENTITY})*+"'
+_CHILD = rf"<({_NAME})(?: m={_MARK})?>{_TEXT}</\1>"
+# possessive, so that a record of very many children needs no stack
+_RECORD = rf"\A<row(?:\s++(?!xmlns[\s=]){_NAME}={_MARK})?+\s*+>(?:{_TEXT}{_CHILD})*+{_TEXT}</row>\s*+\z"
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -51,16 +52,9 @@ def _general(texts: pd.Series) -> pd.Series:
 def _elements(records: DataFrame) -> DataFrame:
     """recid, currency, xmlrecord and the record's child elements in canonical text."""
     xml = F.col("xmlrecord")
-    count = lambda pattern: F.regexp_count(xml, F.lit(pattern))
-    cut = records.select("recid", "currency", "xmlrecord", F.regexp_extract_all(xml, F.lit(_CHILD), F.lit(0)).alias("children"))
-    simple = (
-        xml.startswith("<row")
-        & F.rtrim(xml).endswith("</row>")
-        & (F.length(xml) - F.length(F.replace(xml, F.lit("<"), F.lit(""))) == 2 * F.size("children") + 2)
-        & (~xml.contains("&") | (count("&") == count(_ENTITY)))
-        & ~xml.rlike(_ODD)
-        & xml.rlike(_ROOT)
-    )
+    # beyond its first character the root can not be taken for a child
+    cut = records.select("recid", "currency", "xmlrecord", F.regexp_extract_all(F.substr(xml, F.lit(2)), F.lit(_CHILD), F.lit(0)).alias("children"))
+    simple = xml.rlike(_RECORD) & ~xml.contains("]]>")
     flagged = cut.withColumn("simple", F.coalesce(simple, F.lit(False)))
     general = _general(F.when(~F.col("simple"), xml))
     return flagged.select("recid", "currency", "xmlrecord", F.when(F.col("simple"), F.col("children")).otherwise(general).alias("children"))

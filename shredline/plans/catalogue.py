@@ -5,21 +5,24 @@ another currency, both a later date; those divisible by 10 lose c46, and those d
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import shown, try_compact_date, try_index, utf8_from_hex
-from ..functions.fields import C20_NAMES, inline_catalogue
-from ..operators.enrich import enrich
+from ..functions.fields import C20_NAMES, NARROW, WIDE, WIDE_ARRAYS, inline_catalogue
+from ..operators.enrich import create_view, enrich
 from ..operators.merge import changed_records, matched, merge, watermark
-from ..operators.pivot import ordered_values, pivot
+from ..operators.pivot import narrow_table, ordered_values, pivot, wide_table
 from ..operators.repair import default_repairs, repair
 from ..operators.shred import shred, with_virtual_columns
-from ..sources.generate import currency_of, generate_records, new_ids
+from ..sources import generate
+from ..sources.generate import currency_of, generate_records, new_ids, transformed_records
 from ..sources.records import order_records
-from ..sources.staging import staged
+from ..sources.staging import shared_folder, staged
+from ..sources.store import SnapshotStore
 from .incremental import rebuilt, summary
 from .report import account_detail, loaded_watermark, row_count, top_accounts
 
@@ -34,8 +37,14 @@ VIRTUAL = [("customer", "c1", "decimal(38,0)"), ("category", "c2", "decimal(38,0
 
 
 def attributes(spark: SparkSession, sf: str) -> DataFrame:
-    """The first load: attribute rows with the record's date."""
-    return shred(order_records(spark, sf), F.lit(FIRST).cast("timestamp"), with_date=True)
+    """The first load: attribute rows with the record's date, stored once in a session for each folder of tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        _STORED[key] = staged(shred(order_records(spark, sf), F.lit(FIRST).cast("timestamp"), with_date=True))
+    return _STORED[key]
+
+
+_STORED: dict[tuple[str, str], DataFrame] = {}
 
 
 def second_load(rows: DataFrame) -> DataFrame:
@@ -55,7 +64,7 @@ def second_load(rows: DataFrame) -> DataFrame:
 
 def changed_source(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Target, changed recids, and the staged rows of these."""
-    target = staged(attributes(spark, sf))
+    target = attributes(spark, sf)
     stage = second_load(target)
     changed = staged(changed_records(stage, target))
     return target, changed, stage.join(changed, "recid")
@@ -96,7 +105,7 @@ raw AS (
   UNION ALL SELECT l_orderkey, 'c20', CASE WHEN rn > 1 THEN rn END, c20 FROM lines SEMI JOIN orders ON o_orderkey = l_orderkey
   UNION ALL SELECT l_orderkey, 'c46', CASE WHEN rn > 1 THEN rn END, c46 FROM lines SEMI JOIN orders ON o_orderkey = l_orderkey
 ),
-eav AS (
+eav AS MATERIALIZED (
   SELECT CAST(k AS VARCHAR) AS recid, o_orderstatus AS currency, field_index, CAST(mvi AS INTEGER) AS multi_value_index, field_value,
          CASE WHEN o_orderkey % 13 <> 0 THEN CAST(o_orderdate AS DATE) END AS source_updated_date, '{FIRST}' AS ingested_at
   FROM raw JOIN orders ON k = o_orderkey
@@ -104,23 +113,23 @@ eav AS (
 """
 SECOND_LOAD = f"""
 touched AS (SELECT *, CAST(recid AS BIGINT) AS n FROM eav),
-stage AS (
+stage AS MATERIALIZED (
   SELECT recid, CASE WHEN n % 7 = 0 THEN 'Z' ELSE currency END AS currency, field_index, multi_value_index,
          CASE WHEN field_index = 'c2' AND n % 5 = 0 THEN field_value || '-X' ELSE field_value END AS field_value,
          CASE WHEN n % 5 = 0 OR n % 7 = 0 THEN DATE '2030-01-01' ELSE source_updated_date END AS source_updated_date, '{SECOND}' AS ingested_at
   FROM (SELECT * FROM touched WHERE field_index <> 'c46' OR n % 10 <> 0
         UNION ALL SELECT recid, currency, 'c3', multi_value_index, 'Account ' || recid, source_updated_date, ingested_at, n FROM touched WHERE field_index = 'c1' AND n % 11 = 0)
 ),
-since AS (SELECT coalesce(max(source_updated_date) - 1, DATE '1900-01-01')::DATE AS changed_from FROM eav),
-changed AS (SELECT DISTINCT recid FROM stage, since WHERE source_updated_date >= changed_from OR source_updated_date IS NULL),
-source AS (SELECT stage.* FROM stage SEMI JOIN changed USING (recid)),
+since AS MATERIALIZED (SELECT coalesce(max(source_updated_date) - 1, DATE '1900-01-01')::DATE AS changed_from FROM eav),
+changed AS MATERIALIZED (SELECT DISTINCT recid FROM stage, since WHERE source_updated_date >= changed_from OR source_updated_date IS NULL),
+source AS MATERIALIZED (SELECT stage.* FROM stage SEMI JOIN changed USING (recid)),
 pairs AS (
   SELECT t, s, CASE WHEN t IS NULL THEN 'insert' WHEN s IS NULL THEN 'keep'
     WHEN t.currency IS DISTINCT FROM s.currency OR t.field_value IS DISTINCT FROM s.field_value OR t.source_updated_date IS DISTINCT FROM s.source_updated_date THEN 'update' ELSE 'same' END AS action
   FROM (SELECT eav AS t FROM eav) FULL JOIN (SELECT source AS s FROM source)
     ON t.recid = s.recid AND t.field_index = s.field_index AND coalesce(t.multi_value_index, -1) = coalesce(s.multi_value_index, -1)
 ),
-merged AS (
+merged AS MATERIALIZED (
   SELECT w.recid, CASE WHEN action = 'update' THEN s.currency ELSE w.currency END AS currency, w.field_index, w.multi_value_index,
     CASE WHEN action = 'update' THEN s.field_value ELSE w.field_value END AS field_value,
     CASE WHEN action = 'update' THEN s.source_updated_date ELSE w.source_updated_date END AS source_updated_date,
@@ -174,7 +183,8 @@ def xml_shred_attributes(spark, sf):
 @query(f"WITH {EAV} SELECT field_index, count(*) AS n_rows, count(field_value) AS n_values, count(multi_value_index) AS n_indices FROM eav GROUP BY field_index")
 def xml_shred_field_counts(spark, sf):
     count = lambda c: F.count(c)
-    return attributes(spark, sf).groupBy("field_index").agg(count(F.lit(1)).alias("n_rows"), count("field_value").alias("n_values"), count("multi_value_index").alias("n_indices"))
+    rows = shred(order_records(spark, sf), F.lit(FIRST).cast("timestamp"), with_date=True)
+    return rows.groupBy("field_index").agg(count(F.lit(1)).alias("n_rows"), count("field_value").alias("n_values"), count("multi_value_index").alias("n_indices"))
 
 
 @query("SELECT event_id, try_cast(nullif(m, '') AS INTEGER) AS multi_value_index FROM (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 3 = 1 THEN CAST(event_id AS VARCHAR) ELSE 'x' || event_id END AS m FROM events)")
@@ -329,19 +339,91 @@ def incremental_summary(spark, sf):
     return as_text(summary(changed, merge(target, source.select(*target.columns))))
 
 
-@query(f"WITH {EAV} SELECT recid, field_index, multi_value_index, CAST(CAST(NULL AS DATE) AS VARCHAR) AS added_date FROM eav")
-def add_column_evolution(spark, sf):
-    rows = attributes(spark, sf).select("recid", "field_index", "multi_value_index")
-    return as_text(rows if "added_date" in rows.columns else rows.withColumn("added_date", F.lit(None).cast("date")))
+# the store
+
+
+def store(spark: SparkSession) -> SnapshotStore:
+    return SnapshotStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+
+
+def order_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("price"))
+
+
+ORDERS = "SELECT o_orderkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price FROM orders"
+
+
+@query(f"WITH {EAV} SELECT recid, field_index, multi_value_index, field_value FROM eav WHERE field_index = 'c46'")
+def store_partition_scan(spark, sf):
+    """CREATE TABLE AS, partitioned by field and bucketed by record; the scan reads one partition."""
+    made = store(spark)
+    made.create("attributes", attributes(spark, sf), ["field_index"], "recid", 4)
+    return made.read("attributes").where("field_index = 'c46'").select("recid", "field_index", "multi_value_index", "field_value")
+
+
+@query(f"{ORDERS}")
+def store_append_by_name(spark, sf):
+    made, rows = store(spark), order_rows(spark, sf)
+    made.create("orders", rows.where("o_orderkey % 2 = 0"), ["o_orderstatus"])
+    made.append("orders", rows.where("o_orderkey % 2 = 1").select("price", "o_orderstatus", "o_orderkey"))
+    return made.read("orders")
+
+
+@query(f"SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus || '-new' END AS note FROM ({ORDERS})")
+def store_add_column(spark, sf):
+    """A new column is null in older files; adding it again changes nothing."""
+    made, rows = store(spark), order_rows(spark, sf)
+    made.create("orders", rows.where("o_orderkey % 3 <> 0"))
+    for _ in range(2):
+        made.add_column("orders", "note", "string")
+    made.append("orders", rows.where("o_orderkey % 3 = 0").withColumn("note", F.concat("o_orderstatus", F.lit("-new"))))
+    return made.read("orders")
+
+
+@query(f"SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, price FROM ({ORDERS}) WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 7)")
+def store_update_and_delete(spark, sf):
+    made = store(spark)
+    made.create("orders", order_rows(spark, sf), [], "o_orderkey", 8)
+    made.update("orders", F.col("o_orderkey") % 5 == 0, {"o_orderstatus": F.lit("U")})
+    gone = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_linenumber = 7").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    made.delete_in("orders", gone, "o_orderkey")
+    return made.read("orders")
+
+
+@query("SELECT * FROM (VALUES ('kept', 0, 'r_regionkey', 'int'), ('kept', 1, 'r_name', 'string')) t(table_name, place, column_name, data_type)")
+def store_drop_and_show(spark, sf):
+    made, regions = store(spark), spark.read.parquet(f"{sf}/region.parquet")
+    for name in ("kept", "dropped"):
+        made.create(name, regions)
+    for _ in range(2):
+        made.drop("dropped")
+    return made.schemas()
+
+
+@query(f"WITH {EAV}, {SECOND_LOAD} SELECT {COLUMNS}, CAST(source_updated_date AS VARCHAR) AS source_updated_date FROM merged")
+def store_merge(spark, sf):
+    """MERGE into a stored table, bucket by bucket."""
+    target, _, source = changed_source(spark, sf)
+    made = store(spark)
+    made.create("attributes", target, [], "recid", 4)
+    made.merge("attributes", source.select(*target.columns))
+    return as_text(made.read("attributes"))
+
+
+@query(f"SELECT field_name, count(*) AS n_rows, max(field_value) AS largest FROM ({ENRICHED}) GROUP BY field_name")
+def enriched_view(spark, sf):
+    create_view(attributes(spark, sf), inline_catalogue(spark), "account_attributes_named")
+    return spark.sql("SELECT field_name, count(*) AS n_rows, max(field_value) AS largest FROM account_attributes_named GROUP BY field_name")
 
 
 # joins, generation and reports
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT r AS recid, CASE right(r, 1) WHEN '1' THEN 'USD' WHEN '2' THEN 'EUR' WHEN '3' THEN 'GBP' ELSE 'EGP' END AS currency FROM (SELECT CAST(9000000120000001 + range AS VARCHAR) AS r FROM range(3000)) WHERE NOT EXISTS (SELECT 1 FROM customer WHERE CAST(9000000120000000 + c_custkey AS VARCHAR) = r AND c_custkey % 3 <> 0)")
 def anti_join_new_ids(spark, sf):
-    customers, orders = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("customer", "orders"))
-    return customers.select("c_custkey").join(orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    """Generated records whose ids no record has yet."""
+    taken = spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey % 3 <> 0").select((F.lit(9000000120000000) + F.col("c_custkey")).cast("string").alias("recid"))
+    return generate_records(spark, TEMPLATE, 3000, existing=taken).select("recid", "currency")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
@@ -371,9 +453,69 @@ def generated_ids_by_currency(spark, sf):
     return ids.groupBy("currency").agg(F.count(F.lit(1)).alias("n_records"), F.min("recid").alias("first_id"), F.max("recid").alias("last_id"))
 
 
+# Every code of the reporting tables; repeated fields have a first value, an empty and a third one.
+FULL_TEMPLATE = [
+    *((c, None, f"{c} text & more") for c in dict.fromkeys(c for c, _ in [*NARROW, *WIDE])),
+    *((c, i, v) for c, _ in WIDE_ARRAYS for i, v in ((None, "first"), ("2", None), ("3", "third"))),
+]
+FULL = 2000
+
+
+def sql_rule(code: str, literal: str | None) -> str:
+    """A rule's value of a field, as SQL over the id r, else the template's."""
+    amount = "CAST(CAST((CAST(substr(r, 11, 6) AS INTEGER) % 900000) AS DECIMAL(18,2)) / 100 AS DECIMAL(18,2))::VARCHAR"
+    part = lambda at, n: f"lpad(CAST(CAST(substr(r, {at}, 2) AS INTEGER) % {n} + 1 AS VARCHAR), 2, '0')"
+    currency = "CASE right(r, 1) WHEN '1' THEN 'USD' WHEN '2' THEN 'EUR' WHEN '3' THEN 'GBP' ELSE 'EGP' END"
+    rules = [
+        (generate.CUSTOMER, "'90' || substr(r, 11, 6)"), (generate.CATEGORY, "'65' || substr(r, 15, 1) || '0'"), (generate.TITLE, "'Test account ' || r"), (generate.CURRENCY, currency),
+        (generate.AMOUNT, amount), (generate.DATE, f"'2026' || {part(15, 12)} || {part(13, 28)}"), (generate.USER, "'TEST_USER_' || substr(r, 11, 6)"),
+    ]
+    return next((sql for codes, sql in rules if code in codes), "CAST(NULL AS VARCHAR)" if literal is None else f"'{literal}'")
+
+
+def sql_full(scalars: list[tuple[str, str]], arrays: list[tuple[str, str]], currency: str) -> str:
+    literal = {c: v for c, i, v in FULL_TEMPLATE if i is None}
+    columns = [f"{sql_rule(c, literal[c])} AS {n}" for c, n in scalars]
+    columns += [" || '|' || ".join(f"coalesce({sql_rule(c, v)}, '<null>')" for v in ("first", None, "third")) + f" AS {n}" for c, n in arrays]
+    return f"SELECT r AS recid, {sql_rule('c8', None)} AS {currency}, {', '.join(columns)}, '{FIRST}' AS ingested_at FROM (SELECT CAST({generate.FIRST_ID} + range AS VARCHAR) AS r FROM range({FULL}))"
+
+
+def full_rows(spark: SparkSession) -> DataFrame:
+    return shred(generate_records(spark, FULL_TEMPLATE, FULL), F.lit(FIRST).cast("timestamp"))
+
+
+@query(sql_full(NARROW, [], "currency"))
+def account_flat_full(spark, sf):
+    return as_text(narrow_table(full_rows(spark)))
+
+
+@query(sql_full(WIDE, WIDE_ARRAYS, "source_currency"))
+def account_wide_full(spark, sf):
+    return as_text(wide_table(full_rows(spark)))
+
+
+#: A document with what no rule knows: comments, nested elements, attributes and CDATA.
+DOCUMENT = """<?xml version="1.0"?>
+<row a="1" id='9' z="$1 \\ &amp;">
+  <!-- <c2>kept</c2> --><c1 m="4" other="x">old</c1><c2/><c3 k="$2"><![CDATA[<old>]]></c3><c8></c8><c11>kept</c11><c20 m="2">ke<b>p</b>t</c20>
+  <c46>a</c46><c46 m="2">b</c46><zz><c23>7</c23></zz>
+</row>"""
+
+
+@query("SELECT r AS recid, '<?xml version=\"1.0\"?>\n<row a=\"1\" id=\"' || r || '\" z=\"$1 \\ &amp;\">\n  <!-- <c2>' || " + sql_rule("c2", None) + " || '</c2> --><c1 m=\"4\" other=\"x\">' || " + sql_rule("c1", None)
+       + " || '</c1><c2>' || " + sql_rule("c2", None) + " || '</c2><c3 k=\"$2\">' || " + sql_rule("c3", None) + " || '</c3><c8>' || " + sql_rule("c8", None)
+       + " || '</c8><c11>kept</c11><c20 m=\"2\">ke<b>p</b>t</c20>\n  <c46>' || " + sql_rule("c46", None) + " || '</c46><c46 m=\"2\">' || " + sql_rule("c46", None)
+       + " || '</c46><zz><c23>' || " + sql_rule("c23", None) + f" || '</c23></zz>\n</row>' AS xmlrecord, " + sql_rule("c8", None) + f" AS currency FROM (SELECT CAST(9000000120000001 + range AS VARCHAR) AS r FROM range({FULL}))")
+def transformed_documents(spark, sf):
+    return transformed_records(spark, DOCUMENT, FULL)
+
+
 @query(f"WITH {EAV} SELECT recid, customer, category, c20_values FROM ({sql_pivot('eav', True, 'source_currency')}) ORDER BY recid LIMIT 10")
 def top_accounts_report(spark, sf):
-    return as_text(top_accounts(wide(attributes(spark, sf)), ["customer", "category", "c20_values"]))
+    """The least ids are found first, and only their records are pivoted."""
+    rows = attributes(spark, sf)
+    first = F.broadcast(rows.select("recid").distinct().orderBy("recid").limit(10))
+    return as_text(top_accounts(wide(rows.join(first, "recid", "left_semi")), ["customer", "category", "c20_values"]))
 
 
 DETAIL = "33"

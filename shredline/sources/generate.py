@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import escape_xml
 from .records import RECORD, element, serialise
 
 FIRST_ID = 9000000120000001
@@ -52,3 +53,27 @@ def generate_records(spark: SparkSession, template: list[tuple[str, str | None,
         children.append(element(code, made, None if index is None else F.lit(index)))
     made = ids.select("recid", serialise(recid, *children).alias("xmlrecord"), currency_of(recid).alias("currency"))
     return made.select(*(c.split()[0] for c in RECORD.split(", ")))
+
+
+_CDATA = r"(?:[^<]|<!\[CDATA\[.*?\]\]>)*"
+
+
+def transform_documents(document: Column, recid: Column) -> Column:
+    """Existing documents under new ids: the root's ``id`` is the new one, the elements of each rule get the rule's value, and everything
+    else, also elements, attributes and comments that no rule knows, stays as it is."""
+    literal = lambda c: F.regexp_replace(escape_xml(c), r"([\\$])", r"\\$1")
+    out = F.regexp_replace(document, F.lit(r"""(<row\b[^>]*?\sid=)("[^"]*"|'[^']*')"""), F.concat(F.lit('$1"'), literal(recid), F.lit('"')))
+    for codes, value in rule_values(recid):
+        name = "|".join(codes)
+        out = F.regexp_replace(out, F.lit(rf"(?s)<({name})(\s[^<>]*?)?/>"), F.lit("<$1$2></$1>"))
+        out = F.regexp_replace(out, F.lit(rf"(?s)(<({name})(?:\s[^<>]*)?>){_CDATA}(</\2>)"), F.concat(F.lit("$1"), literal(value), F.lit("$3")))
+    return out
+
+
+def transformed_records(spark: SparkSession, document: str, n: int, first: int = FIRST_ID, existing: DataFrame | None = None) -> DataFrame:
+    """n records made of one document by the rules; ids that exist already are skipped."""
+    ids = new_ids(spark, n, first)
+    if existing is not None:
+        ids = ids.join(existing.select("recid"), "recid", "left_anti")
+    recid = F.col("recid")
+    return ids.select(recid, transform_documents(F.lit(document), recid).alias("xmlrecord"), currency_of(recid).alias("currency"))

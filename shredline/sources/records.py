@@ -31,17 +31,61 @@ class RowRecords:
 
 @dataclass(frozen=True)
 class JdbcRecords:
-    """A query that the source database runs as it is; the password comes from the environment."""
+    """A query that the source database runs as it is; user and password come from the environment.
+
+    With ``partition_column`` (a numeric or date column of the query) and its bounds the query is read by ``partitions`` connections.
+    ``since`` is a condition that the database checks, such as the stored watermark on a date column."""
 
     url: str
     query: str
     user_variable: str = "SOURCE_DB_USER"
     password_variable: str = "SOURCE_DB_PASSWORD"
     options: dict[str, str] = field(default_factory=dict)
+    partition_column: str | None = None
+    bounds: tuple[str, str] | None = None
+    partitions: int = 1
+    since: str | None = None
+
+    def settings(self) -> dict[str, str]:
+        text = f"SELECT * FROM ({self.query}) source_rows WHERE {self.since}" if self.since else self.query
+        own = {"url": self.url, "user": os.environ.get(self.user_variable, ""), "password": os.environ.get(self.password_variable, "")}
+        if not self.partition_column:
+            return {**own, "query": text, **self.options}
+        if not self.bounds:
+            raise ValueError("a partition column needs its bounds")
+        low, high = self.bounds
+        cut = {"partitionColumn": self.partition_column, "lowerBound": low, "upperBound": high, "numPartitions": str(self.partitions)}
+        return {**own, "dbtable": f"({text}) partitioned_rows", **cut, **self.options}
 
     def read(self, spark: SparkSession) -> DataFrame:
-        own = {"url": self.url, "query": self.query, "user": os.environ.get(self.user_variable, ""), "password": os.environ.get(self.password_variable, "")}
-        return spark.read.format("jdbc").options(**own, **self.options).load().select("recid", "xmlrecord", "currency")
+        rows = spark.read.format("jdbc").options(**self.settings()).load()
+        named = {c.lower(): c for c in rows.columns}
+        return rows.select(*(F.col(named[c]).alias(c) for c in ("recid", "xmlrecord", "currency")))
+
+
+#: Types that attribute tables hold; others are left out or converted.
+SUPPORTED = ("string", "int", "bigint", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz", "decimal", "char", "varchar", "binary")
+
+
+def supported(rows: DataFrame, unsupported: str = "ignore") -> DataFrame:
+    """The columns of supported types. Others are left out (``ignore``), become JSON text (``convert``) or are an error (``fail``)."""
+    odd = [c for c, kind in rows.dtypes if not kind.split("(")[0] in SUPPORTED]
+    if odd and unsupported == "fail":
+        raise TypeError(f"unsupported types: {', '.join(odd)}")
+    if unsupported == "convert":
+        return rows.select(*(F.to_json(F.struct(F.col(c).alias("value"))).alias(c) if c in odd else F.col(c) for c in rows.columns))
+    return rows.drop(*odd)
+
+
+class RecordKeyError(ValueError):
+    """A record without an id, or two with the same."""
+
+
+def check_records(records: DataFrame) -> DataFrame:
+    """The records, if every one has an id and no two have the same. One aggregation by id finds both."""
+    if found := records.groupBy("recid").count().where("recid IS NULL OR count > 1").head():
+        raise RecordKeyError(f"{found['count']} records have the id {found.recid}")
+    return records
 
 
 def element(code: str | Column, value: Column, index: Column | None = None) -> Column:

@@ -46,9 +46,27 @@ def test_records(spark, xml, wanted):
     assert sorted(map(str, rows(spark, xml))) == sorted(map(str, wanted))
 
 
+MALFORMED = [
+    "<row>a</row><x></row>", '<row id="1" id="2"><c1>a</c1></row>', "<row><c1>a</c1></row><row></row>", "<row><c1>a</c2></row>", "<row><c1>a & b</c1></row>",
+    "<row><c1>a]]></c1></row>", "<row><c1>\x01</c1></row>", '<row><c1 m="1" m="2">a</c1></row>', "<row><c1>a</c1></row>tail", "<row><1c>a</1c></row>", '<row a="&x;"><c1>a</c1></row>',
+]
+
+
+def test_very_many_children(spark):
+    xml = "<row>" + "".join(f'<c20 m="{k}">v{k}</c20>' for k in range(1, 30_001)) + "</row>"
+    made = shred(RowRecords([("r", xml, None)]).read(spark), at())
+    assert made.count() == 30_000 and made.where("multi_value_index = 30000").first().field_value == "v30000"
+
+
+def test_text_around_children_and_namespaces(spark):
+    assert rows(spark, "<row>x<c1>a</c1>y<c2>b</c2>z</row>\n") == [("c1", None, "a"), ("c2", None, "b")]
+    assert rows(spark, '<row xmlns="u"><c1>a</c1></row>') == []
+
+
 def test_quarantine(spark):
-    records = RowRecords([("a", "<row><c1>", None), ("b", "", None), ("c", None, None), ("d", "<row/>", None)]).read(spark)
-    assert sorted(r.recid for r in quarantined(records).collect()) == ["a", "b"]
+    records = RowRecords([("a", "<row><c1>", None), ("b", "", None), ("c", None, None), ("d", "<row/>", None), *((str(k), x, None) for k, x in enumerate(MALFORMED))]).read(spark)
+    assert sorted(r.recid for r in quarantined(records).collect()) == sorted(["a", "b", *map(str, range(len(MALFORMED)))])
+    assert shred(records, at()).count() == 0
 
 
 def test_overlong_values(spark):
