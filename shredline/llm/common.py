@@ -111,6 +111,16 @@ def crc_mod(doc_id: Column, m: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(m))
 
 
+def lowest(rows: DataFrame, columns: list[str], n: int) -> DataFrame:
+    """The n rows whose key hashes lowest. Of many more rows only those below a hash that about 2 n rows have are sorted, so no task or
+    driver gets a share of every partition."""
+    total = rows.count()
+    place = F.pmod(F.xxhash64(*columns), F.lit(1 << 48))
+    if total > 4 * n:
+        rows = rows.where(place < F.lit(2 * n * (1 << 48) // total))
+    return rows.orderBy(place, *columns).limit(n)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 bytes of a text column; null becomes empty."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
@@ -123,6 +133,26 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def even_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """``n`` int keys that Spark's hash partitioning deals evenly to ``spark.sql.shuffle.partitions``, so that no task gets several large groups
+    where another has none. Beyond 2**18 keys the numbers themselves, whose partitions are even by their number."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n > 1 << 18:
+        return np.arange(n)
+    each = -(-n // parts)
+    ids = np.arange(parts * (2 * each + 24), dtype=np.uint32)
+    turn = lambda x, r: (x << np.uint32(r)) | (x >> np.uint32(32 - r))
+    h = turn(ids * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)  # Murmur3 of an int with seed 42, as Spark partitions
+    h = turn(h ^ np.uint32(42), 13) * np.uint32(5) + np.uint32(0xE6546B64) ^ np.uint32(4)
+    for r, m in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ (h >> np.uint32(r))) * np.uint32(m)
+    part = h.view(np.int32).astype(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.arange(len(ids)) - np.searchsorted(part[order], part[order])
+    return ids[np.lexsort((part, rank))][:n].astype(np.int64)
+
+
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 

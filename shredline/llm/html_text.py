@@ -46,13 +46,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, expand, mix64, slices, squeeze, table
+from .common import Workspace, even_keys, expand, mix64, slices, squeeze, table
 
 LEAST_IMPORTANCE, LEAST_PAGES, DECAY = 0.1, 10, 0.9
 #: Nodes that are broadcast; more of them meet the pages in a join.
 BROADCAST_NODES = 500_000
 #: Pages whose words are sorted together, and bytes of pages whose words a counting task has on average.
-BATCH_PAGES, SHARD_BYTES = 2048, 32 << 20
+BATCH_PAGES, SHARD_BYTES = 2048, 16 << 20
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>?|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
@@ -447,7 +447,7 @@ def pieces(pair: np.ndarray, key: np.ndarray, kind: np.ndarray, unit: np.ndarray
 
 def count_values(rows: pa.Table) -> pa.Table:
     """For each node the pages that have it, and sums over its looks and words, of one range of the hashes. A page that several pieces have counts once."""
-    every = [Piece.unpack(r) for r in rows.drop_columns("shard").to_pylist()]
+    every = [Piece.unpack(r) for r in rows.drop_columns(["task", "shard"]).to_pylist()]
     units, times = np.unique(np.concatenate([p.units for p in every]), return_counts=True)
     repeated = units[times > 1]
     pairs, keys, kinds, counts, again = [], [], [], [], []
@@ -479,7 +479,7 @@ def count_values(rows: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array(key[start].view(np.int64)), **{k: pa.array(np.add.reduceat(v.astype(float), start)) for k, v in sums.items()}})
 
 
-PIECES = pa.schema([("shard", pa.int32()), *((c, pa.binary()) for c in ("pairs", "keys", "places", "units"))])
+PIECES = pa.schema([("task", pa.int32()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("pairs", "keys", "places", "units"))])
 SUMS = ["pages", "looks", "look_pages", "look_logs", "word_pages", "word_logs"]
 
 
@@ -487,6 +487,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     """key, presentation, content and weight of the parts for every node of every host's tree that LEAST_PAGES pages or more have."""
     size = pages.agg(F.sum(F.octet_length("html")).alias("n")).first().n or 0
     shards = max(pages.sparkSession.sparkContext.defaultParallelism, -(-size // SHARD_BYTES))
+    tasks = even_keys(pages.sparkSession, shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest as digest
@@ -505,7 +506,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
             same = mix64(pair ^ unit)
             once = np.unique(same, return_index=True)[1] if len(set(x[2] for x in parts)) < pages else slice(None)
             for row in pieces(pair[once], key[once], kind[once].astype(np.uint8), unit[once], shards):
-                yield pa.RecordBatch.from_pylist([row], PIECES)
+                yield pa.RecordBatch.from_pylist([{**row, "task": int(tasks[row["shard"]])}], PIECES)
             values.clear()
             parts.clear()
 
@@ -525,8 +526,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
         if pages:
             yield from done()
 
-    cut = pages.select("url", "html").mapInArrow(run, "shard int, pairs binary, keys binary, places binary, units binary")
-    counted = cut.groupBy("shard").applyInArrow(lambda t: count_values(t), "key long, " + ", ".join(f"{c} double" for c in SUMS))
+    cut = pages.select("url", "html").mapInArrow(run, "task int, shard int, pairs binary, keys binary, places binary, units binary")
+    counted = cut.groupBy("task").applyInArrow(lambda t: count_values(t), "key long, " + ", ".join(f"{c} double" for c in SUMS))
     total = counted.groupBy("key").agg(*(F.sum(c).alias(c) for c in SUMS)).where(F.col("pages") >= LEAST_PAGES)
     base = F.log("pages")
     looks = F.when(F.col("look_pages") > 0, (F.log("look_pages") - F.col("look_logs") / F.col("look_pages")) / base).otherwise(0.0)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, shingle_hashes, slices, table, texts, vector_blocks, vector_sum, without_keys, word_hashes
+from .common import BROADCAST_KEYS, Workspace, shingle_hashes, slices, table, texts, vector_blocks, vector_sum, without_keys, word_hashes
 from .graph import components
 
 WIDTH = 5
@@ -54,37 +54,45 @@ def document_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.unique(shingle_hashes(word_hashes(t.lower().split()), WIDTH)) for t in texts(batch)]
 
 
-def point(shingles: np.ndarray) -> int:
+def point(shingles: np.ndarray, seed: int = 0) -> int:
     from xxhash import xxh3_64_intdigest
 
-    h = xxh3_64_intdigest(shingles.tobytes())
+    h = xxh3_64_intdigest(shingles.tobytes(), seed=seed)
     return h - (1 << 64) if h >> 63 else h
 
 
+#: The seed of a second hash that tells whether two sets have become one point.
+CHECK_SEED = 1
+
+
+class PointCollision(RuntimeError):
+    """Two different sets have one point."""
+
+
 def cells(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
 def read_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, fp for each row, and in other rows the task's counts of shingles by cell (block, blob)."""
+    """doc_id, n, fp and its check for each row, and in other rows the task's counts of shingles by cell (block, blob)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << CELL_BITS, np.int32)
-        names = ["doc_id", "n", "fp", "block", "blob"]
+        counts = np.zeros(1 << CELL_BITS, np.int64)
+        names = ["doc_id", "n", "fp", "check", "block", "blob"]
         for batch in slices(batches):
             sets = document_sets(batch)
-            np.add.at(counts, cells(np.concatenate(sets)), 1)
+            counts += np.bincount(cells(np.concatenate(sets)), minlength=1 << CELL_BITS)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(point, sets), pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(point, sets), pa.int64()), pa.array([point(s, CHECK_SEED) for s in sets], pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
                 names=names,
             )
         sums = vector_blocks(counts)
         n = sums.num_rows
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64())] * 3 + sums.columns, names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64())] * 4 + sums.columns, names=names)
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(run, "doc_id long, n long, fp long, block int, blob binary")
+    return narrow.mapInArrow(run, "doc_id long, n long, fp long, check long, block int, blob binary")
 
 
 def order_levels(counts: np.ndarray) -> np.ndarray:
@@ -92,6 +100,11 @@ def order_levels(counts: np.ndarray) -> np.ndarray:
     return np.floor(4 * np.log2(np.maximum(counts / max(1e-9, counts.mean()), 1))).astype(np.int16)
 
 
+def parts_of(counts: np.ndarray) -> np.ndarray:
+    """Parts of each cell's regions: one for each HOT rows beyond what a cell has by chance, so that parts do not grow with the documents."""
+    return np.maximum(1, -(-(counts - int(2 * counts.mean())) // HOT)).astype(np.int64)
+
+
 def window_length(n: int) -> int:
     return n - (NUM * n + DEN - 1) // DEN + 1
 
@@ -308,12 +321,12 @@ class Join:
         """Every row's doc_id, n and fp; leaves the candidates written."""
         spark, space = self.spark, self.space
         read = space.save(read_sets(self.docs), "sets")
-        counts = vector_sum(read.where(F.col("blob").isNotNull()).select("block", "blob"), spark, "int32", 1 << CELL_BITS)
-        rows = read.where(F.col("blob").isNull()).select("doc_id", "n", "fp")
+        counts = vector_sum(read.where(F.col("blob").isNotNull()).select("block", "blob"), spark, "int64", 1 << CELL_BITS)
+        rows = read.where(F.col("blob").isNull()).select("doc_id", "n", "fp", "check")
         windows = rows.agg(F.sum(F.when(F.col("n") > 0, F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1)).alias("k")).first().k or 0
         shards = max(spark.sparkContext.defaultParallelism, -(-int(windows) // SHARD_ROWS))
         levels = spark.sparkContext.broadcast(order_levels(counts))
-        splits = spark.sparkContext.broadcast(np.maximum(1, -(-counts // HOT)))
+        splits = spark.sparkContext.broadcast(parts_of(counts))
         scattered = scatter(self.docs, levels, splits, shards)
         self.candidates = space.save(scattered.groupBy("shard").applyInArrow(lambda t: join_shard(t), CANDIDATES), "candidates")
         return rows
@@ -382,14 +395,36 @@ def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     join = Join(spark, docs)
     rows = join.points()
+    alike = rows.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("k"), F.min("check").alias("low"), F.max("check").alias("high"))
+    points = join.space.save(alike, "points")
+    if found := points.where("low <> high").head():
+        raise PointCollision(f"different sets have the point {found.fp}")
     roots = join.links()
-    points = rows.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"))
-    known = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_point = known.join(least, "root").select("fp", "component_id")
-    full = rows.where("n > 0").join(by_point, "fp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    bare = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(bare)
+    # a point that stands for one row without links is its own component, and so are rows without shingles
+    linked = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").where("k > 1 OR root IS NOT NULL").withColumn("root", F.coalesce("root", "fp"))
+    linked = join.space.save(linked.select("fp", "root", "k", "least"), "linked")
+    least = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("k"))
+    by_point = join.space.save(joined_evenly(linked, join.space.save(least, "components"), "root", ["component_id"]), "by-point")
+    by_point = by_point.select("fp", "k", F.struct("component_id").alias("found"))
+    full = joined_evenly(rows, by_point, "fp", ["found"], "left")
+    component = F.when(F.col("found").isNull(), F.col("doc_id")).otherwise(F.col("found.component_id"))
+    return full.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def joined_evenly(rows: DataFrame, table_: DataFrame, key: str, columns: list[str], how: str = "inner") -> DataFrame:
+    """Rows joined with a table that has each key once and, as k, its number of rows. Keys with more than a thousandth of the rows are at
+    most a thousand and are broadcast, so that no task gets all rows of one; where there are few keys, all are."""
+    own = [F.col(f"rows.{c}") for c in rows.columns]
+    got = [F.col(f"found.{c}") for c in columns]
+    met = F.col(f"rows.{key}") == F.col(f"found.{key}")
+    few = table_.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    if few:
+        return rows.alias("rows").join(F.broadcast(table_).alias("found"), met, how).select(*own, *got)
+    most = rows.count()
+    hot, rest = table_.where(F.col("k") * 1000 > most), table_.where(F.col("k") * 1000 <= most)
+    first = rows.alias("rows").join(F.broadcast(hot).alias("found"), met).select(*own, *got)
+    others = rows.alias("rows").join(F.broadcast(hot).alias("found"), met, "left_anti").select(*own)
+    return first.unionByName(others.alias("rows").join(rest.alias("found"), met, how).select(*own, *got))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, crc_mod, expand, slices, squeeze, table, texts, word_hashes
+from .common import Workspace, crc_mod, even_keys, expand, slices, squeeze, table, texts, word_hashes
 from .elias_fano import EliasFano, pack, unpack
 
 FOLDS, HELD_OUT = 7, 2
@@ -309,6 +309,7 @@ def deal(docs: DataFrame, vocabulary: Vocabulary, ranges: Ranges) -> DataFrame:
     """For each batch and shard, the batch's distinct 3-grams with training counts, and the documents that have them; and for
     each batch what is known of its documents without the trie."""
     start, shards = vocabulary.size, ranges.shards
+    tasks = even_keys(docs.sparkSession, 2 * max(1, shards))
     kind = np.uint32 if start < 2**32 - 2 else np.uint64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,12 +349,12 @@ def deal(docs: DataFrame, vocabulary: Vocabulary, ranges: Ranges) -> DataFrame:
                 own = slice(ends[a], ends[b])
                 rows.append({"group": int(shard[a]), "batch": uid, "grams": squeeze(gv[a:b], gu[a:b], gw[a:b], n[a:b], docs_of[a:b]), "docs": squeeze(doc[own], times[own])})
             for row in rows:
-                yield pa.RecordBatch.from_pylist([row], DEALT)
+                yield pa.RecordBatch.from_pylist([{**row, "task": int(tasks[row["group"]])}], DEALT)
 
-    return docs.mapInArrow(run, "group int, batch long, info binary, grams binary, docs binary")
+    return docs.mapInArrow(run, "task int, group int, batch long, info binary, grams binary, docs binary")
 
 
-DEALT = pa.schema([("group", pa.int32()), ("batch", pa.int64()), ("info", pa.binary()), ("grams", pa.binary()), ("docs", pa.binary())])
+DEALT = pa.schema([("task", pa.int32()), ("group", pa.int32()), ("batch", pa.int64()), ("info", pa.binary()), ("grams", pa.binary()), ("docs", pa.binary())])
 SUMS = pa.schema([("batch", pa.int64()), ("info", pa.binary()), ("sums", pa.binary())])
 
 
@@ -471,7 +472,7 @@ def score_shards(dealt: DataFrame, vocabulary: Vocabulary, ranges: Ranges, stats
             some = np.flatnonzero(np.bincount(doc))
             yield pa.RecordBatch.from_pylist([{"batch": row["batch"], "sums": squeeze(some.astype(np.uint32), sums[some])}], SUMS)
 
-    return dealt.groupBy("group").applyInArrow(run, "batch long, info binary, sums binary")
+    return dealt.groupBy("task").applyInArrow(run, "batch long, info binary, sums binary")
 
 
 def after_hot_word(followers: Followers, w: np.ndarray, base: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ Templates are the notices that licences publish, and what people write with thei
 
 Multinomial logistic regression over sparse rows with an L2 penalty knows the licence families and an unknown class. A family's training rows
 keep at least ``KEPT`` of a template's words, among other words; unknown rows keep at most ``LOST`` of them, mix words of several
-templates, or are lines of the documents themselves, at most ``PROSE_LINES`` of them (those whose text hashes lowest) that have less than
+templates, or are lines of the documents themselves, at most ``PROSE_LINES`` of them (the lowest of as many residues of a hash) that have less than
 ``ALIKE`` of every template's 2-grams. A held-out part of such rows calibrates one temperature for the probabilities. A prediction
 of a family stands if its probability is at least ``THRESHOLD``, the paragraph has at least ``SIMILARITY`` of the word 2-grams of one of the
 family's templates, which is reported, and no other family's template is nearer.
@@ -345,8 +345,9 @@ def license_paragraphs(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per paragraph that is a licence notice: doc_id, paragraph (from 0), family, probability, similarity, notice."""
     small_batches(spark)
     line = docs.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length("line").between(20, LONGEST)).select(F.xxhash64("line").alias("h"), "line")
-    prose = [r.line for r in line.orderBy("h", "line").limit(PROSE_LINES).collect()]
-    shared = spark.sparkContext.broadcast(Model(list(dict.fromkeys(prose))))
+    # a line for each residue of the hash: tasks keep at most PROSE_LINES, and so many come to the driver
+    of = line.groupBy(F.pmod("h", F.lit(PROSE_LINES)).alias("k")).agg(F.min(F.struct("h", "line")).alias("x"))
+    shared = spark.sparkContext.broadcast(Model([r.line for r in of.orderBy("k").select("x.line").collect()]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, plain = shared.value, PlainWords()

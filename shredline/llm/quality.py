@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, crc_mod, shingle_hashes, slices, table, texts, word_hashes
+from .common import Workspace, crc_mod, lowest, shingle_hashes, slices, table, texts, word_hashes
 
 STATISTICS = (
     "log_bytes", "word_length", "upper", "digit", "symbol", "bang", "pipe", "punctuation", "other_ascii", "space", "line_breaks",
@@ -163,7 +163,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str = "
     """The model of the labelled training documents; only their statistics are made."""
     space, own = Workspace(spark), F.col(column)
     known = labels.where(own.isin(0, 1) & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id", own.cast("int").alias("label"))
-    known = known.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE_ROWS)
+    known = lowest(space.save(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "every-label"), ["doc_id", "label"], SAMPLE_ROWS)
     # at most SAMPLE_ROWS small rows, so the broadcast is bounded and no text moves
     known = space.save(known, "labels")
     return Discriminant(class_sums(document_statistics(docs.join(F.broadcast(known.select("doc_id").distinct()), "doc_id", "left_semi")).join(F.broadcast(known), "doc_id")))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Workspace, crc_mod, expand, slices, squeeze, table, vector_blocks, vector_sum
+from .common import Workspace, crc_mod, expand, lowest, slices, squeeze, table, vector_blocks, vector_sum
 
 SIZES = (3, 4, 5, 6)
 BITS = 20
@@ -207,7 +207,7 @@ def labelled_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, col
     space = Workspace(spark)
     own = F.col(column)
     known = labels.where(own.isin(0, 1) & (crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT)).groupBy("doc_id").agg(F.max(own.cast("int")).alias("label"))
-    ids = known.join(docs.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    ids = lowest(space.save(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "labels"), ["doc_id"], SAMPLE_ROWS)
     # at most SAMPLE_ROWS small rows, so the broadcast is bounded
     ids = space.save(ids.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(CALIBRATION_FOLDS)).cast("int")), "ids")
     found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")

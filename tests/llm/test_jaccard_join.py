@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from shredline.llm import jaccard_join
+from shredline.llm import graph, jaccard_join
 from shredline.llm.common import Workspace
 from shredline.llm.graph import components
 
@@ -71,6 +71,46 @@ def test_recursion_and_split_regions(spark, monkeypatch, seed, small, hot):
     assert joined(spark, docs) == brute_force(rows)
 
 
+def test_a_region_of_many_sets_at_default_settings(spark):
+    """A passage that is most of 300 short texts, some of them near copies: more than SMALL sets meet in its shingles' regions."""
+    rng = random.Random(8)
+    passage = [f"p{k}" for k in range(60)]
+    texts = []
+    for k in range(300):
+        own = [f"o{k}x{j}" for j in range(rng.choice([2, 9, 12, 16, 30]))]
+        texts.append(" ".join(passage + own))
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = jaccard_join.Join(spark, docs)
+    join.points()
+    assert join.candidates.where("region IS NOT NULL").groupBy("region").count().agg({"count": "max"}).first()[0] > jaccard_join.SMALL
+    assert joined(spark, docs) == brute_force(rows)
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_hot_keys_meet_in_no_task(spark, monkeypatch, few):
+    monkeypatch.setattr(jaccard_join, "BROADCAST_KEYS", few)
+    monkeypatch.setattr(graph, "BROADCAST_LINKS", few)
+    rows = [(k, "one text that very many rows have in common") for k in range(400)] + [(1000 + k, " ".join(f"w{k // 3}x{j}" for j in range(40)) + " e" * (k % 3)) for k in range(60)] + [(None, "null id"), (5000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert joined(spark, docs) == brute_force(rows)
+
+
+def test_colliding_points_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "point", lambda s, seed=0: len(s) if seed == 0 else int(s[0] >> np.uint64(1)) if len(s) else 0)
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id long, text string")
+    with pytest.raises(jaccard_join.PointCollision):
+        jaccard_join.jaccard_components(spark, docs)
+
+
+def test_parts_do_not_grow_with_the_documents(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT", 100)
+    counts = np.full(1000, 5000)
+    counts[7] = 12_000
+    parts = jaccard_join.parts_of(counts)
+    assert parts[7] == 20 and (np.delete(parts, 7) == 1).all()
+
+
 def test_odd_documents(spark, odd_docs, no_docs):
     assert joined(spark, odd_docs) == brute_force([(r.doc_id, r.text) for r in odd_docs.collect()])
     assert joined(spark, no_docs) == []
