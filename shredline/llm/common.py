@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import shared_folder
+
 #: Keys that are broadcast to leave rows out; more of them meet the rows in a join.
 BROADCAST_KEYS = 500_000
 FILTER_BITS = 27
@@ -24,15 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one is set only where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="shredline-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
 #: Bytes of an Arrow batch between the JVM and Python. Both sides hold several copies of each task's batch.
 BATCH_BYTES = 8 << 20
 
@@ -50,7 +42,7 @@ class Workspace:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         small_batches(spark)
-        self.root = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"

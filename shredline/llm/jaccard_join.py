@@ -1,28 +1,30 @@
-"""Exact n-gram Jaccard self-join in the metric space of shingle sets.
+"""Exact n-gram Jaccard self-join of shingle sets.
 
-Distance is one minus Jaccard similarity; a link is a distance of at most 0.2. Documents with the same set are one
-point. The join has two levels of pivots.
+Distance is one minus Jaccard similarity; a link is a distance of at most 0.2. Documents with the same set are one point.
 
-*Shingle pivots.* All shingles are ordered, rarer ones first by counts in a table of fixed size, then by hash. The
-Voronoi region of a shingle holds the sets whose first shingle it is. A set within the radius may lack at most a fifth of a
-set's shingles, so a set is replicated into the regions of its first ``n - ceil(0.8 n) + 1`` shingles (the window);
-two linked sets then meet in the region of their first common shingle. In a region, sizes and positions bound the
-intersection that two sets can still have, and pairs below the bound are left out.
+*First level: a prefix filter.* Voronoi regions of sampled documents were the first choice. They hold nearly every text in every region,
+because nearly all pairs of texts are at distance 1 (figures in the README), so the first level is what it is called here. All shingles are
+ordered, rarer ones first by counts in a table of fixed size, then by hash. A set within the radius may lack at most a fifth of a
+set's shingles, so a set is replicated into the regions of its first ``n - ceil(0.8 n) + 1`` shingles; two linked sets then meet in the region
+of their first common shingle. In a region, sizes and positions bound the intersection that two sets can still have, and pairs below
+the bound are left out.
 
-*Document pivots.* A region of more than ``SMALL`` sets takes one set as a pivot and measures all others from it; sets
+*Second level: document pivots.* A region of more than ``SMALL`` sets takes one set as a pivot and measures all others from it; sets
 within the radius are linked through it. What remains is joined recursively: sets outside the region's largest component
 become pivots in turn, each against the sets of other components, except those that the triangle inequality over the
 first pivot's distances, or the bounds below, exclude. A region is done when no such set is left, so no pair of different
-components is left unmeasured.
+components is left unmeasured. Sets that a rare shingle does not separate and that are in no link are compared with each other in the end.
 
 Pairs are measured in two steps. Counts of a set's shingles in 256 hash classes give a lower bound of the symmetric
 difference; the pairs that it leaves are intersected exactly. Components of the links follow by large and small stars.
 A shingle in so many sets that its region would outgrow ``HOT`` rows is split into block pairs that still meet all pairs.
-Sets are compared as 64-bit hashes of shingles, and a point is a 64-bit hash of its set.
+Sets are compared as 64-bit hashes of shingles, and a point is a 64-bit hash of its set. A second hash tells whether two different
+sets have become one point, which is an error (``PointCollision``; one in two from some 5e9 different texts on).
 
 Defined cases: null, empty and blank texts have no shingles, are linked with nothing and are their own component;
-fewer than five words are one shingle; repeated rows are each returned and are one point; a null ``doc_id`` is never a
-``component_id`` unless its whole component is null; other columns are ignored; no rows give no rows.
+fewer than five words are one shingle; very long texts are read whole; a similarity that equals the threshold is a link; repeated rows are
+each returned and are one point; a null ``doc_id`` is never a ``component_id`` unless its whole component is null; other columns are
+ignored; no rows give no rows.
 """
 
 from __future__ import annotations

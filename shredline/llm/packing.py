@@ -10,7 +10,8 @@ find their place by their rank within their length, which comes from per-task co
 a length that a third of all pieces have never meets in one task.
 
 Defined cases: a null text is empty and is the end token alone; repeated rows are packed each; a text whose tokens and
-end fill ``capacity`` exactly is one piece; other columns are ignored; no rows give no rows.
+end fill ``capacity`` exactly is one piece; very long texts are cut into pieces and lose nothing; pieces of one
+length are ranked by task and place, and which of them goes where has no meaning; other columns are ignored; no rows give no rows.
 """
 
 from __future__ import annotations

@@ -18,7 +18,6 @@ prior; no documents give no rows; other columns are ignored; a null ``doc_id`` i
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +41,26 @@ FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
 
 
-_SPACES = re.compile(r"\s+")
-
-
-def padded(text: str | None) -> str:
-    text = (text or "").lower()
-    # split() of a very long text would take many times its memory
-    return f" {' '.join(text.split()) if len(text) < WINDOW else _SPACES.sub(' ', text).strip()} "
+def padded(text: str | None) -> Iterator[str]:
+    """A text in lower case with single spaces and one at both ends, in consecutive parts of about WINDOW characters."""
+    text = text or ""
+    if len(text) <= WINDOW:
+        yield f" {' '.join(text.lower().split())} "
+        return
+    at, space = 0, " "
+    while at < len(text):
+        end = min(len(text), at + WINDOW)
+        cut = end
+        while end < len(text) and cut > at and not text[cut - 1].isspace():
+            cut -= 1
+        cut = cut if cut > at else end  # within a word that is longer than a window
+        if part := " ".join(text[at:cut].lower().split()):
+            yield (" " if text[at].isspace() else space) + part
+            space = " " if text[cut - 1].isspace() else ""
+        else:
+            space = " "
+        at = cut
+    yield " "
 
 
 def window_cells(texts: list[str], rows: list[int], wanted: np.ndarray | None) -> np.ndarray:
@@ -76,11 +88,12 @@ def text_cells(texts: list[str | None], wanted: np.ndarray | None = None) -> tup
     """Distinct (row, cell) pairs in row order; with ``wanted`` only cells where it is true."""
     found, some, rows, size, kept = [np.empty(0, np.int64)], [], [], 0, 0
     for k, text in enumerate(texts):
-        text = padded(text)
-        for at in range(0, max(1, len(text) - max(SIZES) + 1), WINDOW):
-            some.append(text[at : at + WINDOW + max(SIZES) - 1])
+        before = ""
+        for part in padded(text):
+            some.append(before + part)
+            before = some[-1][1 - max(SIZES) :]
             rows.append(k)
-            size += len(some[-1])
+            size += len(part)
             if size >= WINDOW:
                 found.append(window_cells(some, rows, wanted))
                 kept += len(found[-1])

@@ -7,7 +7,8 @@ confirms a hit, and the longest rule wins (of equally long ones the longer host,
 
 Defined cases: a null url, or one without ``://``, has empty host and path and fits only a rule that is empty; urls
 that fit no rule get the default verdict ``allow``; repeated rows and ids are each returned; other columns are ignored;
-an empty rule table gives every url the default.
+an empty rule table gives every url the default;
+urls of any length are read whole; no pages give no rows.
 """
 
 from __future__ import annotations

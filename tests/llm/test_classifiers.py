@@ -73,3 +73,82 @@ def test_cells_of_a_text():
     same = [set(cell[row == k]) for k in range(4)]
     assert same[0] == same[2] and len(same[0]) == 4 + 3 + 2 + 1  # " ab c " has 6 characters
     assert same[1] == same[3] == set()
+
+
+def brute_cells(text):
+    """Cells of a text, character by character."""
+    text = f" {' '.join((text or '').lower().split())} "
+    out = set()
+    for n in toxicity.SIZES:
+        for k in range(len(text) - n + 1):
+            h = 0
+            for c in text[k : k + n]:
+                h = (h * 0x01000193 + ord(c) + 1) & 0xFFFFFFFF
+            out.add((((h ^ n) * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - toxicity.BITS))
+    return out
+
+
+def test_toxicity_against_brute_force(spark, sf):
+    """Counts, ratios, kept cells and scores from sets of cells."""
+    docs, labels = load(spark, sf)
+    sample = toxicity.labelled_sample(spark, docs, labels, "toxic")
+    rows = sample.collect()
+    wanted = {r.doc_id: r.toxic for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    assert {r.doc_id: r.label for r in rows} == wanted
+    text = {r.doc_id: r.text for r in docs.collect()}
+    cells = {i: brute_cells(text[i]) for i in wanted}
+    counts = np.zeros((2, 1 << toxicity.BITS), int)
+    for i, k in wanted.items():
+        counts[k, list(cells[i])] += 1
+    assert (toxicity.class_counts(sample, spark).sum(0) == counts).all()
+    n = [sum(k == c for k in wanted.values()) for c in (0, 1)]
+    ratio = {c: np.log((counts[1, c] + 1) / (n[1] + 2)) - np.log((counts[0, c] + 1) / (n[0] + 2)) for c in np.flatnonzero(counts.sum(0) >= toxicity.LEAST_ROWS)}
+    kept, ratios = toxicity.choose_cells(counts, np.array(n))
+    most = sorted(ratio, key=lambda c: (-round(abs(ratio[c]) * np.sqrt(counts[:, c].sum()), 9), c))[: toxicity.CELLS]
+    assert len(kept) == min(toxicity.CELLS, sum(abs(x) > 1e-12 for x in ratio.values()))
+    assert np.allclose(ratios, [ratio[c] for c in kept])
+    worst = abs(ratio[most[-1]]) * np.sqrt(counts[:, most[-1]].sum())
+    assert all(abs(ratio[c]) * np.sqrt(counts[:, c].sum()) >= worst - 1e-9 for c in kept)
+    weights, intercept = toxicity.fit(spark, docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(spark, docs, labels).collect()}
+    for i in list(text)[:60]:
+        z = intercept + weights[list(brute_cells(text[i]))].astype(float).sum()
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
+def test_quality_against_brute_force(spark, sf):
+    """Class moments, shrinkage and the ratio of densities, from the labelled rows at once."""
+    docs, labels = load(spark, sf)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    known = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in text and zlib.crc32(str(r.doc_id).encode()) % 5}
+    x = {i: quality.statistics((t or "").encode()) for i, t in text.items()}
+    own = {k: np.stack([x[i] for i, q in known.items() if q == k]) for k in (0, 1)}
+    cov = {k: np.cov(v.T, bias=True) for k, v in own.items()}
+    d, n = len(quality.STATISTICS), {k: len(v) for k, v in own.items()}
+    pooled = (n[0] * cov[0] + n[1] * cov[1]) / (n[0] + n[1])
+    pooled = (1 - quality.TO_DIAGONAL) * pooled + quality.TO_DIAGONAL * (np.diag(np.diag(pooled)) + 1e-4 * np.eye(d))
+    z = {i: np.log((n[1] + 1) / (n[0] + 1)) for i in x}
+    for sign, k in ((-1, 0), (1, 1)):
+        c = (1 - quality.TO_POOLED) * cov[k] + quality.TO_POOLED * pooled + 1e-6 * np.eye(d)
+        for i, v in x.items():
+            e = v - own[k].mean(0)
+            z[i] += sign * (-0.5 * e @ np.linalg.solve(c, e) - 0.5 * np.linalg.slogdet(c)[1])
+    for r in quality.quality_scores(spark, docs, labels).collect():
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip(z[r.doc_id], -500, 500))), abs=1e-6)
+
+
+def test_windows_give_the_same_cells(monkeypatch):
+    rng = np.random.default_rng(0)
+    texts = ["".join(rng.choice(list("abc \u00e9 "), n)) for n in (0, 1, 5, 40, 333, 4000)] + [None, "x" * 1000, " " * 300, "ab " + " " * 200 + "cd" * 90]
+    whole = toxicity.text_cells(texts)
+    for window in (7, 64, 1000):
+        monkeypatch.setattr(toxicity, "WINDOW", window)
+        assert all((a == b).all() for a, b in zip(whole, toxicity.text_cells(texts)))
+
+
+def test_the_sample_is_bounded(spark, sf, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 10)
+    docs, labels = load(spark, sf)
+    more = labels.unionByName(spark.range(10**6, 10**6 + 500).selectExpr("id as doc_id", "1 as quality", "1 as toxic"))  # without documents
+    rows = toxicity.labelled_sample(spark, docs.unionByName(docs.withColumn("text", toxicity.F.concat("text", toxicity.F.lit("x")))).unionByName(docs), more.unionByName(labels), "toxic").collect()
+    assert len(rows) == 10 and len({r.doc_id for r in rows}) == 10
