@@ -46,7 +46,7 @@ CELL_BITS = 21
 CLASSES = 256
 BLOOM_BITS = 24
 #: Region rows that a shard holds on average; sets in a region that are compared directly; rows of a region before it is split.
-SHARD_ROWS, SMALL, HOT = 500_000, 64, 1_000_000
+SHARD_ROWS, SMALL, HOT = 250_000, 64, 1_000_000
 #: Shingles of a region's sets, and of its pivots in a turn, that a task holds: 8 bytes each.
 BLOCK_CELLS = 4_000_000
 
@@ -83,7 +83,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "n", "fp", "check", "block", "blob"]
         for batch in slices(batches):
             sets = document_sets(batch)
-            counts += np.bincount(cells(np.concatenate(sets)), minlength=1 << CELL_BITS)
+            np.add.at(counts, cells(np.concatenate(sets)), 1)
             rows = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(point, sets), pa.int64()), pa.array([point(s, CHECK_SEED) for s in sets], pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())],
@@ -104,7 +104,7 @@ def order_levels(counts: np.ndarray) -> np.ndarray:
 
 def parts_of(counts: np.ndarray) -> np.ndarray:
     """Parts of each cell's regions: one for each HOT rows beyond what a cell has by chance, so that parts do not grow with the documents."""
-    return np.maximum(1, -(-(counts - int(2 * counts.mean())) // HOT)).astype(np.int64)
+    return np.maximum(1, -(-(counts - int(2 * counts.mean())) // HOT)).astype(np.int32)
 
 
 def window_length(n: int) -> int:
@@ -143,7 +143,7 @@ def scatter(docs: DataFrame, levels, splits, shards: int) -> DataFrame:
                     if len(s) and (fp := point(s)) not in seen:
                         seen.add(fp)
                         rows.append(region_rows(s, fp, levels.value, splits.value))
-            if len(seen) > 500_000:  # only saves repeats
+            if len(seen) > 100_000:  # only saves repeats
                 seen.clear()
             if rows:
                 every = np.concatenate(rows)
@@ -243,7 +243,7 @@ def fetch_points(docs: DataFrame, wanted, columns: list[str]) -> DataFrame:
                         out["classes"].append(classes.astype(np.uint8).tobytes())
                     if "shingles" in out:
                         out["shingles"].append(s.tobytes())
-            if len(seen) > 500_000:
+            if len(seen) > 100_000:
                 seen.clear()
             if out["fp"]:
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if c in ("fp", "n") else pa.binary()) for c, v in out.items()], names=list(out))

@@ -89,31 +89,18 @@ def statistics(text: bytes) -> np.ndarray:
     return out
 
 
-def document_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, stats array<double>."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            rows = np.array([statistics(t) for t in texts(batch)]).reshape(-1, len(STATISTICS))
-            flat = pa.array(rows.ravel())
-            offsets = pa.array(np.arange(0, rows.size + 1, len(STATISTICS), dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, flat)], names=["doc_id", "stats"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, stats array<double>")
-
-
 def class_sums(labelled: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
-    """For each label: rows, sum of the statistics, sum of their outer products. Each task adds up its own rows and 64
-    groups add up the tasks' sums, so the driver receives at most 128 small rows."""
+    """For each label of (text, label): rows, sum of the statistics, sum of their outer products. Each task adds up its own rows and 64
+    groups add up the tasks' sums, so the driver receives at most 64 small rows."""
     d = len(STATISTICS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         total = np.zeros((2, 1 + d + d * d))
-        for batch in batches:
+        for batch in slices(batches):
             label = batch.column("label").to_numpy()
-            x = batch.column("stats").flatten().to_numpy().reshape(-1, d)
+            x = np.array([statistics(t) for t in texts(batch)]).reshape(-1, d)
             for k in (0, 1):
                 own = x[label == k]
                 total[k] += np.concatenate([[len(own)], own.sum(0), (own.T @ own).ravel()])
@@ -124,7 +111,7 @@ def class_sums(labelled: DataFrame) -> dict[int, tuple[float, np.ndarray, np.nda
         total = sum(np.frombuffer(b) for b in rows.column("blob").to_pylist())
         return pa.table({"blob": pa.array([np.asarray(total).tobytes()], pa.binary())})
 
-    parts = labelled.select("label", "stats").mapInArrow(run, "bucket int, blob binary").groupBy("bucket").applyInArrow(add, "blob binary")
+    parts = labelled.select("text", "label").mapInArrow(run, "bucket int, blob binary").groupBy("bucket").applyInArrow(add, "blob binary")
     total = sum((np.frombuffer(r.blob) for r in parts.collect()), np.zeros(2 * (1 + d + d * d))).reshape(2, -1)
     return {k: (total[k][0], total[k][1 : 1 + d], total[k][1 + d :].reshape(d, d)) for k in (0, 1)}
 
@@ -166,7 +153,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str = "
     known = lowest(space.save(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "every-label"), ["doc_id", "label"], SAMPLE_ROWS)
     # at most SAMPLE_ROWS small rows, so the broadcast is bounded and no text moves
     known = space.save(known, "labels")
-    return Discriminant(class_sums(document_statistics(docs.join(F.broadcast(known.select("doc_id").distinct()), "doc_id", "left_semi")).join(F.broadcast(known), "doc_id")))
+    return Discriminant(class_sums(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")))
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
