@@ -68,8 +68,13 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, weak_bits: int = 64)
             "doc_id", "text_sha256", F.col("weak").alias("ids"), F.when(F.col("doubt"), F.col("strong")).alias("more")
         )
     keyed = keyed.withColumn("more", F.coalesce("more", F.array().cast("array<binary>")))
-    groups = keyed.groupBy("ids", "more").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return keyed.join(groups, ["ids", "more"]).select(
+    key = ["ids", "more"]
+    groups = space.save(keyed.groupBy(*key).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
+    total = recipes.count()
+    # groups of more than a thousandth of the rows are at most a thousand; they are broadcast, so that no task gets all rows of one
+    hot = F.broadcast(groups.where(F.col("group_size") * 1000 > total))
+    found = keyed.join(hot, key).unionByName(keyed.join(hot, key, "left_anti").join(groups.where(F.col("group_size") * 1000 <= total), key))
+    return found.select(
         "doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"), "text_sha256"
     )
 
