@@ -67,6 +67,10 @@ class SharedFolder:
             out.write(block)
         system.move(part, f"{path}/{name}")
 
+    def remove(self, name: str) -> None:
+        system, path = self._open()
+        system.delete_file(f"{path}/{name}")
+
     def read(self, name: str) -> dict[str, np.ndarray]:
         from pyarrow import fs
 
@@ -435,8 +439,9 @@ def add_up(blobs: list[bytes], n: int) -> np.ndarray:
     return out
 
 
-def score_shards(dealt: DataFrame, vocabulary: Vocabulary, ranges: Ranges, stats: dict[int, tuple[int, int]], folder: SharedFolder) -> DataFrame:
-    """batch, info, sums: builds each shard, and sums the log probabilities of its 3-grams by batch and document."""
+def score_shards(dealt: DataFrame, vocabulary: Vocabulary, ranges: Ranges, stats: dict[int, tuple[int, int]], folder: SharedFolder, keep: bool) -> DataFrame:
+    """batch, info, sums: builds each shard, and sums the log probabilities of its 3-grams by batch and document. Files that are
+    not kept have a name of the attempt's own and go when it has read them."""
     kind = np.uint32 if vocabulary.size < 2**32 - 2 else np.uint64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -459,8 +464,11 @@ def score_shards(dealt: DataFrame, vocabulary: Vocabulary, ranges: Ranges, stats
         counts[words >= 0] = vocabulary.counts(words[words >= 0])
         score = vocabulary.log_base(counts)[back]
         if seen.any():
-            folder.write(f"trie-{shard}", pack(build_shard(v[seen], u[seen], w[seen], n[seen], low, high, vocabulary, followers)))
-            score = Trie(folder.read(f"trie-{shard}"), followers).log_probability(u, v, w, score)
+            name = f"trie-{shard}" if keep else f"trie-{shard}-{uuid.uuid4().hex}"
+            folder.write(name, pack(build_shard(v[seen], u[seen], w[seen], n[seen], low, high, vocabulary, followers)))
+            score = Trie(folder.read(name), followers).log_probability(u, v, w, score)
+            if not keep:
+                folder.remove(name)
         elif followers is not None:
             score = after_hot_word(followers, w, score)
         del u, v, w, n, seen, back
@@ -535,8 +543,9 @@ class Trie:
 SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def language_model_scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def language_model_scores(spark: SparkSession, docs: DataFrame, keep_model: bool = True) -> DataFrame:
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. The model's files stay in the shared
+    folder if they are to be kept; else a shard's go with the task that has read them."""
     space = Workspace(spark)
     folder = SharedFolder(f"{space.root}/model")
     held_out = F.coalesce(crc_mod(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
@@ -552,7 +561,7 @@ def language_model_scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
     bounds = np.array(sorted({0, *cuts, vocabulary.size, vocabulary.size + 1}), np.int64) if vocabulary.size else np.zeros(1, np.int64)
     ranges = Ranges(bounds, hot)
     stats = build_followers(spark, distinct_followers(docs, vocabulary, ranges), vocabulary, ranges, folder, space) if hot else {}
-    scored = score_shards(deal(docs, vocabulary, ranges), vocabulary, ranges, stats, folder)
+    scored = score_shards(deal(docs, vocabulary, ranges), vocabulary, ranges, stats, folder, keep_model)
     tokens = vocabulary.tokens
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -572,7 +581,7 @@ def language_model_scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_model_scores(spark, table(spark, sf_dir, "documents"))
+    return language_model_scores(spark, table(spark, sf_dir, "documents"), keep_model=False)
 
 
 QUERIES = {"op8_language_model": op8_language_model}

@@ -95,6 +95,15 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert language_model.language_model_scores(spark, no_docs).count() == 0
 
 
+@pytest.mark.parametrize("keep", [True, False])
+def test_files_of_the_model(spark, sf, tmp_path, monkeypatch, keep):
+    monkeypatch.setattr(language_model, "Workspace", lambda s: type("Space", (), {"root": f"file://{tmp_path}", "save": staticmethod(lambda df, n: language_model.common_save(s, df, f"{tmp_path}/{n}"))})())
+    monkeypatch.setattr(language_model, "common_save", lambda s, df, path: (df.write.parquet(f"file://{path}"), s.read.parquet(f"file://{path}"))[1], raising=False)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert language_model.language_model_scores(spark, docs, keep_model=keep).count() == docs.count()
+    assert bool(list(tmp_path.glob("model/trie-*"))) == keep and list(tmp_path.glob("model/words-*"))
+
+
 def test_no_training_rows(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     docs = spark.createDataFrame([(held, "a b")], "doc_id long, text string")
