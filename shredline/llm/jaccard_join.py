@@ -4,7 +4,8 @@ Distance is one minus Jaccard similarity; a link is a distance of at most 0.2. D
 
 *First level: a prefix filter.* Voronoi regions of sampled documents were the first choice. They hold nearly every text in every region,
 because nearly all pairs of texts are at distance 1 (figures in the README), so the first level is what it is called here. All shingles are
-ordered, rarer ones first by counts in a table of fixed size, then by hash. A set within the radius may lack at most a fifth of a
+ordered, rarer ones first by counts in a table of fixed size, then by hash. The steps of that order are shorter than the counts' chance
+deviation, so that a passage that many texts share comes last even where its count is small beside what a cell has by chance. A set within the radius may lack at most a fifth of a
 set's shingles, so a set is replicated into the regions of its first ``n - ceil(0.8 n) + 1`` shingles; two linked sets then meet in the region
 of their first common shingle. In a region, sizes and positions bound the intersection that two sets can still have, and pairs below
 the bound are left out.
@@ -16,7 +17,9 @@ first pivot's distances, or the bounds below, exclude. A region is done when no
 components is left unmeasured. Sets that a rare shingle does not separate and that are in no link are compared with each other in the end.
 
 Pairs are measured in two steps. Counts of a set's shingles in 256 hash classes give a lower bound of the symmetric
-difference; the pairs that it leaves are intersected exactly. Components of the links follow by large and small stars.
+difference; the pairs that it leaves are intersected exactly. Shingles are read for these pairs only: a set goes into its large regions with
+its counts alone. A turn takes few pivots of a region at first, so that large components have joined before all of their sets are pivots.
+Components of the links follow by large and small stars.
 A shingle in so many sets that its region would outgrow ``HOT`` rows is split into block pairs that still meet all pairs.
 Sets are compared as 64-bit hashes of shingles, and a point is a 64-bit hash of its set. A second hash tells whether two different
 sets have become one point, which is an error (``PointCollision``; one in two from some 5e9 different texts on).
@@ -47,8 +50,10 @@ CLASSES = 256
 BLOOM_BITS = 24
 #: Region rows that a shard holds on average; sets in a region that are compared directly; rows of a region before it is split.
 SHARD_ROWS, SMALL, HOT = 250_000, 64, 1_000_000
-#: Shingles of a region's sets, and of its pivots in a turn, that a task holds: 8 bytes each.
+#: Class counts of a region's sets, and of its pivots in a turn, that a task holds: a byte each.
 BLOCK_CELLS = 4_000_000
+#: Pivots of a region in the first turn, and how many times more in each further one.
+PIVOTS, MORE = 16, 16
 
 
 def document_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -98,8 +103,8 @@ def read_sets(docs: DataFrame) -> DataFrame:
 
 
 def order_levels(counts: np.ndarray) -> np.ndarray:
-    """Steps of a quarter of a doubling above the mean count of a cell; rarer cells share the first."""
-    return np.floor(4 * np.log2(np.maximum(counts / max(1e-9, counts.mean()), 1))).astype(np.int16)
+    """Steps of half the deviation that a cell's count has by chance, at any count: the root of a count deviates by a half."""
+    return np.minimum(4 * np.sqrt(counts), np.iinfo(np.int16).max).astype(np.int16)
 
 
 def parts_of(counts: np.ndarray) -> np.ndarray:
@@ -286,38 +291,28 @@ def within(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     return (DEN + NUM) * least <= (DEN - NUM) * n
 
 
-def links_with_pivots(rows: pa.Table) -> pa.Table:
-    """Links of pivots with sets of other components, one for each two components that a pivot joins.
-
-    Sizes, positions, distances and class counts exclude pairs; the others are intersected exactly, unless links found
-    here have joined their components already."""
+def near_pivots(rows: pa.Table) -> pa.Table:
+    """Pairs of pivots with sets of other components that sizes, positions, distances and class counts do not exclude."""
     column = {c: rows.column(c).to_numpy() for c in ("fp", "root", "n", "at", "pivot")}
     distance = rows.column("distance").to_numpy().astype(float)
     classes = np.frombuffer(b"".join(rows.column("classes").to_pylist()), np.uint8).reshape(-1, CLASSES)
-    shingles = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
-    fp, n, at = (column[c] for c in ("fp", "n", "at"))
-    root = np.unique(column["root"], return_inverse=True)[1]
-    sets, a, b = np.flatnonzero(~column["pivot"]), [], []
+    fp, n, at, root = (column[c] for c in ("fp", "n", "at", "root"))
+    sets, pairs = np.flatnonzero(~column["pivot"]), [np.empty((0, 2), np.int64)]
     for q in np.flatnonzero(column["pivot"]):
         i, j = np.where(n[sets] <= n[q], sets, q), np.where(n[sets] <= n[q], q, sets)
         far = np.abs(distance[sets] - distance[q]) > (DEN - NUM) / DEN + 1e-9  # false where a distance is not known
         own = sets[(root[sets] != root[q]) & possible(n, at, i, j) & ~far]
         own = own[within(classes[own], classes[q], n[own] + n[q])]
-        for x in own:
-            if root[x] != root[q]:
-                common = len(np.intersect1d(shingles[x], shingles[q], assume_unique=True))
-                if DEN * common >= NUM * (n[x] + n[q] - common):
-                    a.append(min(fp[x], fp[q]))
-                    b.append(max(fp[x], fp[q]))
-                    root[root == root[x]] = root[q]
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        pairs.append(np.stack([np.minimum(fp[own], fp[q]), np.maximum(fp[own], fp[q])], 1))
+    both = np.unique(np.concatenate(pairs), axis=0)
+    return pa.table({"a": pa.array(both[:, 0].copy(), pa.int64()), "b": pa.array(both[:, 1].copy(), pa.int64())})
 
 
 class Join:
     """The state of one join: written tables by name."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame):
-        self.spark, self.docs, self.space = spark, docs, Workspace(spark)
+        self.spark, self.docs, self.space, self.sets = spark, docs, Workspace(spark), None
 
     def points(self) -> DataFrame:
         """Every row's doc_id, n and fp; leaves the candidates written."""
@@ -334,14 +329,23 @@ class Join:
         return rows
 
     def against_pivots(self, now: DataFrame) -> DataFrame:
-        """Links of chosen pivots and sets of their regions. A task holds a block of a region's sets and the
-        region's pivots of this turn, each of about BLOCK_CELLS shingles."""
-        open_points = self.sets.join(now.select("fp").distinct(), "fp", "left_semi").select("fp", "classes", "shingles")
-        now = now.join(open_points, "fp")
-        own = [F.col(c) for c in ("region", "fp", "root", "n", "at", "distance", "classes", "shingles")]
+        """Pairs of chosen pivots and sets of their regions that may be linked. A task holds a block of a region's sets and the
+        region's pivots of this turn, each of about BLOCK_CELLS class counts."""
+        now = now.join(self.classes.select("fp", "classes"), "fp")
+        own = [F.col(c) for c in ("region", "fp", "root", "n", "at", "distance", "classes")]
         sets = now.select(*own, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("pivot"))
         pivots = now.where("chosen").select(*own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("pivot"))
-        return sets.unionByName(pivots).groupBy("region", "block").applyInArrow(lambda t: links_with_pivots(t), "a long, b long")
+        return sets.unionByName(pivots).groupBy("region", "block").applyInArrow(lambda t: near_pivots(t), "a long, b long").distinct()
+
+    def measure(self, pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs with whether they are linked and their distance; reads the shingles of sets that no earlier pair had."""
+        points = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+        new = points if self.sets is None else self.space.save(points.join(self.sets.select("fp"), "fp", "left_anti"), f"new-{name}")
+        if self.sets is None or not new.isEmpty():
+            more = self.fetch(new, ["shingles"], f"sets-{name}")
+            # what the table of points let pass besides may be there already
+            self.sets = more if self.sets is None else self.sets.unionByName(more.join(new, "fp", "left_semi"))
+        return self.space.save(both_sides(pairs, self.sets, "shingles").mapInArrow(measured, "a long, b long, linked boolean, distance double"), f"measured-{name}")
 
     def fetch(self, points: DataFrame, columns: list[str], name: str) -> DataFrame:
         shared = self.spark.sparkContext.broadcast(bitmap(points, self.spark))
@@ -353,10 +357,9 @@ class Join:
         pairs = space.save(self.candidates.where(F.col("b").isNotNull()).select("a", "b").distinct(), "pairs")
         members = self.candidates.where(F.col("region").isNotNull()).select(F.col("a").alias("fp"), "region", "pivot", "n", "at")
         ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("fp"))
-        classes = self.fetch(ends(pairs).distinct(), ["classes"], "classes")
-        kept = space.save(both_sides(pairs, classes, "classes").mapInArrow(bounded, "a long, b long"), "bounded")
-        self.sets = self.fetch(ends(kept).unionByName(members.select("fp")).distinct(), ["classes", "shingles"], "sets-of-points")
-        found = space.save(both_sides(kept, self.sets, "shingles").mapInArrow(measured, "a long, b long, linked boolean, distance double"), "measured")
+        self.classes = self.fetch(ends(pairs).unionByName(members.select("fp")).distinct(), ["classes"], "classes")
+        kept = space.save(both_sides(pairs, self.classes, "classes").mapInArrow(bounded, "a long, b long"), "bounded")
+        found = self.measure(kept, "0")
         edges = found.where("linked").select("a", "b")
         roots = components(edges, space, "roots-0")
         if members.isEmpty():
@@ -371,25 +374,27 @@ class Join:
             turn += 1
             now = members.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
             parts = now.groupBy("region", "root").agg(
-                F.count(F.lit(1)).alias("k"), F.count(F.when(~F.col("done"), 1)).alias("open"), F.sum("n").alias("cells"), F.max("n").alias("longest")
+                F.count(F.lit(1)).alias("k"), F.count(F.when(~F.col("done"), 1)).alias("open")
             )
             main = parts.groupBy("region").agg(
-                F.max_by(F.struct("root", "open"), F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("open").alias("all_open"), F.sum("cells").alias("cells"), F.max("longest").alias("longest")
+                F.max_by(F.struct("root", "open"), F.struct("k", "root")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("open").alias("all_open"), F.sum("k").alias("sets")
             )
             rest = F.col("all_open") - F.col("main.open")
             left = main.where((F.col("parts") > 1) & (rest > 0)).select(
                 "region",
                 F.col("main.root").alias("main"),
-                F.ceil(F.col("cells") / BLOCK_CELLS).cast("int").alias("blocks"),
-                (F.lit(BLOCK_CELLS) / (rest * F.col("longest"))).alias("share"),
+                F.ceil(F.col("sets") * CLASSES / BLOCK_CELLS).cast("int").alias("blocks"),
+                (F.lit(min(PIVOTS * MORE ** (turn - 1), max(1, BLOCK_CELLS // CLASSES))) / rest).alias("share"),
             )
             now = space.save(now.join(left, "region"), f"open-{turn}")  # regions that are done go
             if now.isEmpty():
                 return roots
             chosen = ~F.col("done") & (F.col("root") != F.col("main")) & (F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
             now = now.withColumn("chosen", chosen)
-            edges = edges.unionByName(space.save(self.against_pivots(now).distinct(), f"links-{turn}"))
-            roots = components(edges, space, f"roots-{turn}")
+            near = space.save(self.against_pivots(now), f"near-{turn}")
+            if not near.isEmpty():
+                edges = edges.unionByName(self.measure(near, str(turn)).where("linked").select("a", "b"))
+                roots = components(edges, space, f"roots-{turn}")
             members = space.save(now.select("region", "fp", "pivot", "n", "at", "distance", (F.col("done") | F.col("chosen")).alias("done")), f"members-{turn}")
 
 

@@ -87,6 +87,24 @@ def test_a_region_of_many_sets_at_default_settings(spark):
     assert joined(spark, docs) == brute_force(rows)
 
 
+def test_large_regions_do_not_hold_shingles(spark):
+    """300 texts of a passage and nine own words meet in regions of the passage, and class counts tell that none are linked."""
+    rows = [(k, " ".join([f"p{j}" for j in range(60)] + [f"o{k}x{j}" for j in range(9)])) for k in range(300)]
+    join = jaccard_join.Join(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    join.points()
+    assert join.candidates.where("region IS NOT NULL").groupBy("region").count().agg({"count": "max"}).first()[0] == 300
+    assert join.links().isEmpty()
+    assert join.sets.count() < 30
+
+
+def test_passages_come_last_where_cells_are_full():
+    """A passage in 130 texts, in cells that hold 650 shingles by chance."""
+    counts = np.random.default_rng(4).poisson(650, 20_000)
+    counts[:50] += 130
+    levels = jaccard_join.order_levels(counts)
+    assert (levels[:50, None] > np.quantile(levels[50:], 0.2)).all()  # a window has the first fifth of a set
+
+
 @pytest.mark.parametrize("few", [0, 10**6])
 def test_hot_keys_meet_in_no_task(spark, monkeypatch, few):
     monkeypatch.setattr(jaccard_join, "BROADCAST_KEYS", few)
