@@ -18,7 +18,9 @@ components is left unmeasured. Sets that a rare shingle does not separate and th
 
 Pairs are measured in two steps. Counts of a set's shingles in 256 hash classes give a lower bound of the symmetric
 difference; the pairs that it leaves are intersected exactly. Shingles are read for these pairs only: a set goes into its large regions with
-its counts alone. A turn takes few pivots of a region at first, so that large components have joined before all of their sets are pivots.
+its counts alone. A turn takes few pivots of a region at first, so that large components have joined before all of their sets are pivots,
+and few pairs of each pivot, the likeliest links first: one link joins it to a component, whose other sets it then need not meet. A pivot
+that has more pairs stays a pivot, with more of them in each turn, until it is in the largest component or all of its pairs are measured.
 Components of the links follow by large and small stars.
 A shingle in so many sets that its region would outgrow ``HOT`` rows is split into block pairs that still meet all pairs.
 Sets are compared as 64-bit hashes of shingles, and a point is a 64-bit hash of its set. A second hash tells whether two different
@@ -36,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_KEYS, Workspace, shingle_hashes, slices, table, texts, vector_blocks, vector_sum, without_keys, word_hashes
@@ -54,6 +56,8 @@ SHARD_ROWS, SMALL, HOT = 250_000, 64, 1_000_000
 BLOCK_CELLS = 4_000_000
 #: Pivots of a region in the first turn, and how many times more in each further one.
 PIVOTS, MORE = 16, 16
+#: Pairs of a pivot in the first turn that has it, and MORE times as many in each further one.
+FEW = 16
 
 
 def document_sets(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -266,7 +270,7 @@ def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose class counts allow a link."""
     for batch in batches:
         x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CLASSES) for c in ("xa", "xb"))
-        ok = within(x, y, batch.column("na").to_numpy() + batch.column("nb").to_numpy())
+        ok = within(least_difference(x, y), batch.column("na").to_numpy() + batch.column("nb").to_numpy())
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
 
@@ -284,28 +288,45 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def within(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Whether class counts allow a link between sets of ``n`` shingles together."""
-    least = np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(1, dtype=np.int64)
+def least_difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The shingles in one of two sets alone, at least, by their class counts."""
+    return np.abs(x.astype(np.int16) - y.astype(np.int16)).sum(1, dtype=np.int64)
+
+
+def within(least: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether sets of ``n`` shingles together that differ in at least ``least`` can be linked."""
     # |x| + |y| - 2 i <= (|x| + |y|) (DEN - NUM) / (DEN + NUM) for a link
     return (DEN + NUM) * least <= (DEN - NUM) * n
 
 
 def near_pivots(rows: pa.Table) -> pa.Table:
-    """Pairs of pivots with sets of other components that sizes, positions, distances and class counts do not exclude."""
-    column = {c: rows.column(c).to_numpy() for c in ("fp", "root", "n", "at", "pivot")}
+    """Pairs (a, b) of pivots with sets of other components that sizes, positions, distances and class counts do not exclude: for each pivot
+    the first ``most`` in the order of the share that differs by class counts. A pivot that has more is a row (a, null, region)."""
+    column = {c: rows.column(c).to_numpy() for c in ("fp", "root", "n", "at", "pivot", "most")}
     distance = rows.column("distance").to_numpy().astype(float)
     classes = np.frombuffer(b"".join(rows.column("classes").to_pylist()), np.uint8).reshape(-1, CLASSES)
-    fp, n, at, root = (column[c] for c in ("fp", "n", "at", "root"))
-    sets, pairs = np.flatnonzero(~column["pivot"]), [np.empty((0, 2), np.int64)]
+    fp, n, at, root, most = (column[c] for c in ("fp", "n", "at", "root", "most"))
+    sets, pairs, more = np.flatnonzero(~column["pivot"]), [np.empty((0, 2), np.int64)], []
     for q in np.flatnonzero(column["pivot"]):
         i, j = np.where(n[sets] <= n[q], sets, q), np.where(n[sets] <= n[q], q, sets)
         far = np.abs(distance[sets] - distance[q]) > (DEN - NUM) / DEN + 1e-9  # false where a distance is not known
         own = sets[(root[sets] != root[q]) & possible(n, at, i, j) & ~far]
-        own = own[within(classes[own], classes[q], n[own] + n[q])]
+        least, both = least_difference(classes[own], classes[q]), n[own] + n[q]
+        ok = within(least, both)
+        own, share = own[ok], least[ok] / both[ok]
+        if len(own) > most[q]:
+            own = own[np.lexsort((fp[own], share))[: most[q]]]
+            more.append(fp[q])
         pairs.append(np.stack([np.minimum(fp[own], fp[q]), np.maximum(fp[own], fp[q])], 1))
-    both = np.unique(np.concatenate(pairs), axis=0)
-    return pa.table({"a": pa.array(both[:, 0].copy(), pa.int64()), "b": pa.array(both[:, 1].copy(), pa.int64())})
+    both, k = np.unique(np.concatenate(pairs), axis=0), len(more)
+    longs = lambda x: pa.array(np.ascontiguousarray(x, np.int64), pa.int64())
+    region = pa.concat_arrays([pa.nulls(len(both), pa.int64()), longs(np.full(k, rows.column("region")[0].as_py()))])
+    return pa.table({"a": pa.concat_arrays([longs(both[:, 0]), longs(more)]), "b": pa.concat_arrays([longs(both[:, 1]), pa.nulls(k, pa.int64())]), "region": region})
+
+
+def met_blocks() -> Column:
+    """Blocks of its region that a pivot meets in this turn."""
+    return (F.col("most") / FEW).cast("int")
 
 
 class Join:
@@ -329,13 +350,16 @@ class Join:
         return rows
 
     def against_pivots(self, now: DataFrame) -> DataFrame:
-        """Pairs of chosen pivots and sets of their regions that may be linked. A task holds a block of a region's sets and the
-        region's pivots of this turn, each of about BLOCK_CELLS class counts."""
+        """Pairs of chosen pivots and sets of their regions that may be linked, and the pivots (a, null, region) that have more of them. A task
+        holds a block of a region's sets and the region's pivots of this turn, each of about BLOCK_CELLS class counts. A pivot meets one block
+        in its first turn, from its own hash on, and MORE times as many in each further one."""
         now = now.join(self.classes.select("fp", "classes"), "fp")
-        own = [F.col(c) for c in ("region", "fp", "root", "n", "at", "distance", "classes")]
-        sets = now.select(*own, F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int").alias("block"), F.lit(False).alias("pivot"))
-        pivots = now.where("chosen").select(*own, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("pivot"))
-        return sets.unionByName(pivots).groupBy("region", "block").applyInArrow(lambda t: near_pivots(t), "a long, b long").distinct()
+        own = [F.col(c) for c in ("region", "fp", "root", "n", "at", "distance", "classes", "most")]
+        block = lambda step: F.pmod(F.pmod(F.xxhash64("fp"), F.col("blocks")) + step, F.col("blocks")).cast("int").alias("block")
+        sets = now.select(*own, block(F.lit(0)), F.lit(False).alias("pivot"))
+        met = now.where("chosen").withColumn("step", F.explode(F.sequence(F.lit(0), F.least("blocks", met_blocks()) - 1)))
+        pivots = met.select(*own, block(F.col("step")), F.lit(True).alias("pivot"))
+        return sets.unionByName(pivots).groupBy("region", "block").applyInArrow(lambda t: near_pivots(t), "a long, b long, region long").distinct()
 
     def measure(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs with whether they are linked and their distance; reads the shingles of sets that no earlier pair had."""
@@ -366,7 +390,7 @@ class Join:
             return roots
         star = found.select("a", "b", "distance").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance"))
         members = space.save(
-            members.join(star.select(F.col("a").alias("pivot"), F.col("b").alias("fp"), "distance"), ["pivot", "fp"], "left").withColumn("done", F.col("fp") == F.col("pivot")),
+            members.join(star.select(F.col("a").alias("pivot"), F.col("b").alias("fp"), "distance"), ["pivot", "fp"], "left").withColumns({"done": F.col("fp") == F.col("pivot"), "most": F.lit(FEW)}),
             "members-0",
         )
         turn = 0
@@ -392,10 +416,18 @@ class Join:
             chosen = ~F.col("done") & (F.col("root") != F.col("main")) & (F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
             now = now.withColumn("chosen", chosen)
             near = space.save(self.against_pivots(now), f"near-{turn}")
-            if not near.isEmpty():
-                edges = edges.unionByName(self.measure(near, str(turn)).where("linked").select("a", "b"))
+            pairs = near.where(F.col("b").isNotNull()).select("a", "b")
+            if not pairs.isEmpty():
+                edges = edges.unionByName(self.measure(pairs, str(turn)).where("linked").select("a", "b"))
                 roots = components(edges, space, f"roots-{turn}")
-            members = space.save(now.select("region", "fp", "pivot", "n", "at", "distance", (F.col("done") | F.col("chosen")).alias("done")), f"members-{turn}")
+            more = near.where(F.col("b").isNull()).select("region", F.col("a").alias("fp"), F.lit(True).alias("more"))
+            again = F.col("chosen") & (F.col("more").isNotNull() | (met_blocks() < F.col("blocks")))
+            after = now.join(more, ["region", "fp"], "left").select(
+                "region", "fp", "pivot", "n", "at", "distance",
+                (F.col("done") | F.col("chosen") & ~again).alias("done"),
+                F.when(again, F.least(F.col("most") * MORE, F.lit(1 << 26))).otherwise(F.col("most")).alias("most"),
+            )
+            members = space.save(after, f"members-{turn}")
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shredline.llm import graph, jaccard_join
@@ -97,6 +99,51 @@ def test_large_regions_do_not_hold_shingles(spark):
     assert join.sets.count() < 30
 
 
+def near_copies(n):
+    """A text of 140 words, each word of which a copy has changed with a chance of 1 to 5 %: links are at 4 or 5 changes in both."""
+    rng = random.Random(n)
+    base = [f"b{j}" for j in range(140)]
+    return [(k, " ".join(f"c{k}x{j}" if rng.random() < chance else w for j, w in enumerate(base))) for k in range(n) for chance in [rng.uniform(0.01, 0.05)]]
+
+
+def pairs_of_pivots(join):
+    tables = [join.spark.read.parquet(str(p)) for p in Path(join.space.root.removeprefix("file:")).glob("near-*")]
+    return sum(t.where("b IS NOT NULL").count() for t in tables)
+
+
+def test_pairs_of_near_copies_do_not_grow_with_the_square(spark, monkeypatch):
+    made, joins, plain = [], [], jaccard_join.Join
+    monkeypatch.setattr(jaccard_join, "Join", lambda *args: joins.append(plain(*args)) or joins[-1])
+    for n in (200, 800):
+        rows = near_copies(n)
+        assert joined(spark, spark.createDataFrame(rows, "doc_id long, text string")) == brute_force(rows)
+        made.append(pairs_of_pivots(joins[-1]))
+    assert 0 < made[1] < 6 * made[0]
+
+
+@pytest.mark.parametrize("cells, seed", [(4_000_000, 1), (3000, 2)])
+def test_pivots_meet_all_sets_in_the_end(spark, monkeypatch, cells, seed):
+    """One pair of a pivot and one block at a time, in regions with links and without."""
+    for name, value in (("SMALL", 2), ("FEW", 1), ("MORE", 2), ("BLOCK_CELLS", cells)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rows = list(enumerate(family(seed))) + [(1000 + k, t) for k, t in near_copies(60)]
+    assert joined(spark, spark.createDataFrame(rows, "doc_id long, text string")) == brute_force(rows)
+
+
+def test_a_pivot_with_more_pairs_says_so():
+    n, k = 40, jaccard_join.CLASSES
+    classes = np.ones((n, k), np.uint8)
+    classes[np.arange(1, n), np.arange(1, n)] += np.arange(1, n, dtype=np.uint8) % 5
+    size = classes.sum(1, dtype=np.int64)
+    sets = {"region": [3] * n, "fp": list(range(n)), "root": list(range(n)), "n": size, "at": [0] * n, "distance": [None] * n, "classes": [c.tobytes() for c in classes]}
+    for most in (7, n - 1):
+        rows = pa.table({c: pa.array([*v, v[0]], pa.float64() if c == "distance" else None) for c, v in sets.items()} | {"pivot": [False] * n + [True], "most": [most] * (n + 1)})
+        got = jaccard_join.near_pivots(rows).to_pylist()
+        assert [r for r in got if r["b"] is None] == ([{"a": 0, "b": None, "region": 3}] if most == 7 else [])
+        near = [r["b"] for r in got if r["b"] is not None]
+        assert near == ([5, 10, 15, 20, 25, 30, 35] if most == 7 else list(range(1, n)))
+
+
 def test_passages_come_last_where_cells_are_full():
     """A passage in 130 texts, in cells that hold 650 shingles by chance."""
     counts = np.random.default_rng(4).poisson(650, 20_000)
